@@ -194,17 +194,27 @@ def next_watermark(messages: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def digest_stats(threaded: DataFrame, keys: list[str]) -> DataFrame:
-    """Messages, people and threads per key; rows are combined before the distinct counts."""
+def digest_stats(threaded: DataFrame, keys: list[str], questions: DataFrame | None = None) -> DataFrame:
+    """Messages, people, threads, questions and resolved questions per key.
+
+    Rows are combined before the distinct counts; ``questions`` holds the keys
+    and a boolean ``resolved``.
+    """
     person = F.when(~F.coalesce(F.col("is_system"), F.lit(False)), F.col("nickname"))
     small = threaded.groupBy(*keys, "thread_id", person.alias("person")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return small.groupBy(*keys).agg(
+    counts = small.groupBy(*keys).agg(
         F.sum("n").alias("n_messages"),
         F.countDistinct("person").alias("n_people"),
         F.countDistinct("thread_id").alias("n_threads"),
     )
+    if questions is None:
+        return counts
+    asked = questions.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_questions"), F.count_if("resolved").alias("n_resolved")
+    )
+    return counts.join(asked, keys, "left").na.fill(0, ["n_questions", "n_resolved"])
 
 
 def parse_rate(raw: DataFrame, ok: Column, keys: list[str]) -> DataFrame:

@@ -1,72 +1,106 @@
-"""Exact nearest neighbours by cosine, in blocks of bounded size.
+"""Exact nearest neighbours by cosine.
 
-Chunks are spread over shards and queries over blocks by a hash of their ids;
-each (shard, block) pair is one dense product whose size is fixed by two
-parameters, whatever the size of the tables.  A pair keeps its own best k per
-query, so at most k rows per query and shard are shuffled for the final ranking.
+A query batch of checked, small size is sent to the chunks: every task keeps its
+own best k per query while its rows stream by, and only those are shuffled.  A
+larger query table takes the block way: chunks are spread over shards and
+queries over blocks by a hash of their ids, and each (shard, block) pair is one
+dense product of bounded size.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD_ROWS = 50_000
+SHARD_ROWS = 10_000
 BLOCK_ROWS = 1_000
 
 
-def _parts(rows: DataFrame, size: int) -> int:
-    return max(1, math.ceil(rows.count() / size))
-
-
-def _unit(vectors: pd.Series) -> np.ndarray:
+def _unit(vectors) -> np.ndarray:
     m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
     norm = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(norm == 0, 1.0, norm)
 
 
+def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best k columns per row, ties by the smaller id; ids may differ per row."""
+    order = np.lexsort((ids, -scores), axis=1)[:, :k]
+    return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
+
+
+def _frame(query_ids, scores, ids, query_id: str, chunk_id: str) -> pd.DataFrame:
+    return pd.DataFrame({
+        query_id: np.repeat(np.asarray(query_ids), scores.shape[1]),
+        chunk_id: ids.ravel(), "similarity": scores.ravel(),
+    })
+
+
 def knn(
     queries: DataFrame, chunks: DataFrame, k: int,
     query_id: str = "query_id", chunk_id: str = "chunk_id", vector: str = "embedding",
-    shards: int | None = None, blocks: int | None = None,
+    block_rows: int = BLOCK_ROWS, shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """``(query_id, chunk_id, similarity, position)`` of the k best chunks per query."""
-    shards = shards or _parts(chunks, SHARD_ROWS)
-    blocks = blocks or _parts(queries, BLOCK_ROWS)
+    small = queries.select(query_id, vector).limit(block_rows + 1).toPandas()
+    schema = (
+        f"{query_id} {queries.schema[query_id].dataType.simpleString()}, "
+        f"{chunk_id} {chunks.schema[chunk_id].dataType.simpleString()}, similarity double"
+    )
+    if small.empty:
+        local = chunks.sparkSession.createDataFrame([], schema)
+    elif len(small) <= block_rows:
+        local = _by_task(small, chunks, k, query_id, chunk_id, vector, schema)
+    else:
+        local = _by_block(queries, chunks, k, query_id, chunk_id, vector, schema, block_rows, shard_rows)
+    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), chunk_id)
+    return local.withColumn("position", F.row_number().over(order).cast("bigint")).filter(F.col("position") <= k)
+
+
+def _by_task(small, chunks, k, query_id, chunk_id, vector, schema) -> DataFrame:
+    shared = chunks.sparkSession.sparkContext.broadcast((small[query_id].to_numpy(), _unit(small[vector])))
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        query_ids, matrix = shared.value
+        scores = ids = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            fresh = matrix @ _unit(batch[vector]).T
+            fresh_ids = np.broadcast_to(batch[chunk_id].to_numpy(), fresh.shape)
+            if scores is not None:
+                fresh, fresh_ids = np.hstack([scores, fresh]), np.hstack([ids, fresh_ids])
+            scores, ids = _top(fresh, fresh_ids, k)
+        if scores is not None:
+            yield _frame(query_ids, scores, ids, query_id, chunk_id)
+
+    return chunks.select(chunk_id, vector).mapInPandas(best, schema)
+
+
+def _by_block(queries, chunks, k, query_id, chunk_id, vector, schema, block_rows, shard_rows) -> DataFrame:
+    blocks = max(1, math.ceil(queries.count() / block_rows))
+    shards = max(1, math.ceil(chunks.count() / shard_rows))
     left = chunks.select(
         F.pmod(F.xxhash64(chunk_id), F.lit(shards)).alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("block"),
         F.col(chunk_id), F.col(vector).alias("vector"),
     )
     right = queries.select(
-        F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("bigint").alias("shard"),
+        F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("block"),
         F.col(query_id), F.col(vector).alias("vector"),
     )
-    empty = pd.DataFrame({query_id: [], chunk_id: [], "similarity": []})
 
     def best(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if c.empty or q.empty:
-            return empty
-        c = c.sort_values(chunk_id, kind="stable")
+            return pd.DataFrame({query_id: [], chunk_id: [], "similarity": []})
         scores = _unit(q["vector"]) @ _unit(c["vector"]).T
-        # ids ascend, so a stable sort breaks ties by the smaller id
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        return pd.DataFrame({
-            query_id: np.repeat(q[query_id].to_numpy(), top.shape[1]),
-            chunk_id: c[chunk_id].to_numpy()[top].ravel(),
-            "similarity": np.take_along_axis(scores, top, axis=1).ravel(),
-        })
-
-    types = {query_id: queries.schema[query_id].dataType.simpleString(),
-             chunk_id: chunks.schema[chunk_id].dataType.simpleString()}
-    schema = ", ".join(f"{n} {t}" for n, t in types.items()) + ", similarity double"
-    local = (
-        left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(best, schema)
-    )
-    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), chunk_id)
-    return local.withColumn("position", F.row_number().over(order).cast("bigint")).filter(F.col("position") <= k)
+        top, ids = _top(scores, np.broadcast_to(c[chunk_id].to_numpy(), scores.shape), k)
+        return _frame(q[query_id], top, ids, query_id, chunk_id)
+
+    pair = ["shard", "block"]
+    return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInPandas(best, schema)
