@@ -109,14 +109,13 @@ def apply_owner_pseudonyms(items: DataFrame, mapping: DataFrame, keys: list[str]
 
 
 def _violations(rows: DataFrame, id_col: str, text_cols: list[str], kinds, rule: str) -> DataFrame:
-    found = F.flatten(F.array(*[
-        F.transform(
-            F.coalesce(kinds(F.col(c)), F.array().cast("array<string>")),
-            lambda k, c=c: F.struct(F.lit(c).alias("location"), F.lit(rule).alias("rule"), k.alias("detail")),
+    def found(name: str) -> Column:
+        return F.transform(
+            F.coalesce(kinds(F.col(name)), F.array().cast("array<string>")),
+            lambda k: F.struct(F.lit(name).alias("location"), F.lit(rule).alias("rule"), k.alias("detail")),
         )
-        for c in text_cols
-    ]))
-    return rows.select(F.col(id_col), F.inline(found))
+
+    return rows.select(F.col(id_col), F.inline(F.flatten(F.array(*map(found, text_cols)))))
 
 
 def scan_pii(rows: DataFrame, id_col: str, text_cols: list[str]) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatloom import fixed
+from chatloom.functions import dates
+from chatloom.operators.projection import build_evidence, project_publication
 
 ROOM_SIZE = 30
 EVENT_SCHEMA = T.StructType([
@@ -149,3 +151,116 @@ DOC_SQL = f"""
 doc AS (
   SELECT * REPLACE (text || chr(10) || coalesce({_sql_list(UNSAFE)}[(doc_id % {len(UNSAFE) + len(UNSAFE) // 2}) + 1], '') AS text)
   FROM documents)"""
+
+
+# --- insight sets: one per document -----------------------------------------------------------------
+
+PERIODS = 3000
+GENERATED_AT = "2030-01-01T09:00:00+09:00"
+
+
+def finals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An approved insight set per document, as VARIANT, with internal fields.
+
+    The whole text is the intro, each of its lines a tip.
+    """
+    d = documents(spark, sf_dir).withColumn("n", F.col("doc_id") % PERIODS)
+    doc = F.col("doc_id").cast("string")
+    ids = F.array(F.col("doc_id"))
+    start = F.date_add(F.lit("2020-01-06").cast("date"), F.col("n").cast("int"))
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"(?U)\S"))
+    none = F.lit(None).cast("string")
+    n_faq, n_open = (F.col("doc_id") % 2 + 1).cast("int"), (F.col("doc_id") % 3).cast("int")
+    faq = F.slice(F.array(*[
+        F.struct(
+            F.concat(F.lit(f"faq-{i}-"), doc).alias("id"),
+            F.concat(F.lit(f"질문 {i} "), F.col("source")).alias("question"),
+            F.concat(F.lit(f"답 {i} "), F.col("lang")).alias("answer"),
+            F.array(F.col("lang"), F.lit(f"t{i}")).alias("tags"),
+            (F.lit("기억하세요") if i == 1 else none).alias("practical_tip"),
+            ids.alias("source_message_ids"), none.alias("merge_into"),
+        ) for i in (1, 2)
+    ]), 1, n_faq)
+    unresolved = F.slice(F.array(*[
+        F.struct(F.concat(F.lit(f"열린 질문 {i} "), F.col("lang")).alias("question"), ids.alias("source_message_ids"))
+        for i in (1, 2)
+    ]), 1, n_open)
+    stats = F.create_map(
+        F.lit(fixed.STAT_MESSAGES), F.col("n_chars"), F.lit(fixed.STAT_PEOPLE), F.col("doc_id") % 50,
+        F.lit(fixed.STAT_THREADS), F.size(lines).cast("bigint"),
+        F.lit(fixed.STAT_QUESTIONS), (n_faq + n_open).cast("bigint"), F.lit(fixed.STAT_RESOLVED), n_faq.cast("bigint"),
+    )
+    body = F.struct(
+        F.concat(F.lit("p"), doc).alias("period_id"),
+        F.struct(
+            F.when(F.col("doc_id") % 4 != 0, F.concat(F.lit("  "), F.col("source"), F.lit(" 어떻게 할까요? "))).alias("hook_title"),
+            F.col("text").alias("intro"), F.lit("주간 보고").alias("title"),
+            F.struct(
+                stats.alias("stats"),
+                F.array(F.struct(
+                    F.col("source").alias("topic"), F.col("lang").alias("why"), F.array(doc).alias("source_thread_ids"),
+                )).alias("topics"),
+                unresolved.alias("unresolved"),
+            ).alias("sections"),
+            F.array(doc).alias("source_thread_ids"), F.lit("/private/kept/inside").alias("local_path"),
+        ).alias("report"),
+        faq.alias("faq"),
+        F.transform(lines, lambda x, i: F.struct(
+            F.concat(F.lit("tip-"), i.cast("string")).alias("id"),
+            F.concat(F.lit("줄 "), i.cast("string")).alias("title"), x.alias("body"),
+            F.array(F.lit("기타")).alias("feature_tags"), none.alias("practical_tip"), ids.alias("source_message_ids"),
+        )).alias("tips"),
+        F.array(F.struct(
+            F.lit("act-1").alias("id"), F.lit("action").alias("type"), F.col("source").alias("text"),
+            none.alias("owner_nickname"), none.alias("due"), ids.alias("source_message_ids"),
+        )).alias("actions"),
+        F.struct(F.lit("pass").alias("verdict")).alias("evaluation"),
+    )
+    revision = F.floor(F.col("doc_id") / PERIODS)
+    suffix = F.when(revision > 0, F.concat(F.lit("-r"), revision.cast("string"))).otherwise("")
+    end = F.date_add(start, 6)
+    issue = F.col("n") + 1
+    return d.select(
+        "doc_id", "text", start.alias("start"), end.alias("end"), issue.alias("issue"),
+        F.lit(GENERATED_AT).alias("generated_at"),
+        F.concat(dates.content_id(start, end), suffix).alias("content_id"),
+        F.concat(dates.slug(issue), suffix).alias("slug"),
+        F.to_variant_object(body).alias("final"),
+    )
+
+
+def evidenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_evidence(finals(spark, sf_dir), F.col("start"), F.col("end"), F.col("text"), "anon")
+
+
+def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return project_publication(evidenced(spark, sf_dir), "anon")
+
+
+FINAL_SQL = DOC_SQL + f""",
+f0 AS (
+  SELECT doc_id, text, lang, source, n_chars, doc_id % {PERIODS} AS n, (doc_id % 2 + 1) AS n_faq, doc_id % 3 AS n_open,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\s\\p{{Z}}\\x0b\\x1c-\\x1f\\x85]')) AS lines
+  FROM doc),
+f1 AS (
+  SELECT *, DATE '2020-01-06' + n::INT AS s, DATE '2020-01-06' + n::INT + 6 AS e, n + 1 AS issue,
+         CASE WHEN doc_id // {PERIODS} > 0 THEN '-r' || (doc_id // {PERIODS}) ELSE '' END AS suffix FROM f0),
+fin AS (
+  SELECT *, 'insight-' || strftime(s, '%Y%m%d') || '-' || strftime(e, '%Y%m%d') || suffix AS content_id,
+         'community-insight-' || format('{{:03d}}', issue) || suffix AS slug FROM f1)"""
+
+# Sorted keys, compact, built by hand as a check on the variant route.
+CANONICAL_SQL = FINAL_SQL + """,
+canon AS (
+  SELECT *, '{"actions":[{"due":null,"owner":null,"text":"' || source || '","type":"action"}],"content_id":"' || content_id || '","faq":['
+    || array_to_string(list_transform(range(1, n_faq + 1), lambda i: '{"answer":"답 ' || i || ' ' || lang || '","practical_tip":'
+         || CASE WHEN i = 1 THEN '"기억하세요"' ELSE 'null' END || ',"question":"질문 ' || i || ' ' || source || '","tags":["' || lang || '","t' || i || '"]}'), ',')
+    || '],"generated_at":"2030-01-01T00:00:00Z","hook_title":' || CASE WHEN doc_id % 4 <> 0 THEN '"' || source || ' 어떻게 할까요?"' ELSE 'null' END
+    || ',"intro":' || to_json(text)::VARCHAR || ',"issue":' || issue || ',"kind":"community_insight","period":{"end":"' || strftime(e, '%Y-%m-%d')
+    || '","label":"' || strftime(s, '%Y.%m.%d') || ' - ' || CASE WHEN year(s) = year(e) THEN strftime(e, '%m.%d') ELSE strftime(e, '%Y.%m.%d') END
+    || '","start":"' || strftime(s, '%Y-%m-%d') || '"},"privacy":{"consent_mode":"anon","pii_scan_passed":true,"source_ids_stripped":true},"schema_version":1,"slug":"' || slug
+    || '","stats":{"그중 해결된 수":' || n_faq || ',"메시지 수":' || n_chars || ',"스레드 수":' || len(lines) || ',"질문 수":' || (n_faq + n_open) || ',"함께한 선생님":' || (doc_id % 50)
+    || '},"tips":[' || array_to_string(list_transform(lines, lambda x, i: '{"body":' || to_json(x)::VARCHAR || ',"feature_tags":["기타"],"practical_tip":null,"title":"줄 ' || (i - 1) || '"}'), ',')
+    || '],"title":"주간 인사이트 ' || issue || '호","topics":[{"topic":"' || source || '","why":"' || lang || '"}],"unresolved":['
+    || array_to_string(list_transform(range(1, n_open + 1), lambda i: '{"question":"열린 질문 ' || i || ' ' || lang || '"}'), ',') || ']}' AS canonical
+  FROM fin)"""
