@@ -79,18 +79,17 @@ def strict_json_verdict(raw: Column, max_bytes: int = fixed.MAX_DOCUMENT_BYTES)
     )
 
 
+_TYPES = {
+    "OBJECT": "object", "ARRAY": "array", "STRING": "string", "BIGINT": "integer",
+    "BOOLEAN": "boolean", "VOID": "null",
+}
+
+
 def json_type(variant: Column) -> Column:
     """``object array string integer number boolean null`` of a variant, exactly."""
-    shape = F.schema_of_variant(variant)
-    return (
-        F.when(shape.startswith("OBJECT"), F.lit("object"))
-        .when(shape.startswith("ARRAY"), F.lit("array"))
-        .when(shape == "STRING", F.lit("string"))
-        .when(shape == "BIGINT", F.lit("integer"))
-        .when(shape == "BOOLEAN", F.lit("boolean"))
-        .when(shape == "VOID", F.lit("null"))
-        .otherwise(F.lit("number"))
-    )
+    shape = F.regexp_extract(F.schema_of_variant(variant), "^([A-Z]+)", 1)
+    names = F.create_map(*[F.lit(x) for pair in _TYPES.items() for x in pair])
+    return F.when(variant.isNotNull(), F.coalesce(F.try_element_at(names, shape), F.lit("number")))
 
 
 def embed_json(variant: Column, element_id: str) -> Column:

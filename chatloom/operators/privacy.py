@@ -109,13 +109,21 @@ def apply_owner_pseudonyms(items: DataFrame, mapping: DataFrame, keys: list[str]
 
 
 def _violations(rows: DataFrame, id_col: str, text_cols: list[str], kinds, rule: str) -> DataFrame:
-    def found(name: str) -> Column:
-        return F.transform(
-            F.coalesce(kinds(F.col(name)), F.array().cast("array<string>")),
-            lambda k: F.struct(F.lit(name).alias("location"), F.lit(rule).alias("rule"), k.alias("detail")),
-        )
+    """One row per column and kind found.
 
-    return rows.select(F.col(id_col), F.inline(F.flatten(F.array(*map(found, text_cols)))))
+    The kinds are their own projection below the generator, where common parts
+    of the patterns are computed once; the outer generator keeps the optimizer
+    from adding a filter that would scan a second time.
+    """
+    texts = F.array(*[F.struct(F.lit(c).alias("location"), F.col(c).alias("text")) for c in text_cols])
+    if len(text_cols) == 1:
+        long = rows.select(id_col, F.lit(text_cols[0]).alias("location"), F.col(text_cols[0]).alias("text"))
+    else:
+        long = rows.select(id_col, F.inline(texts))
+    found = long.select(id_col, "location", kinds(F.col("text")).alias("kinds"))
+    return found.select(
+        id_col, "location", F.lit(rule).alias("rule"), F.explode_outer("kinds").alias("detail")
+    ).filter(F.col("detail").isNotNull())
 
 
 def scan_pii(rows: DataFrame, id_col: str, text_cols: list[str]) -> DataFrame:

@@ -109,7 +109,7 @@ def verify_evidence(finals: DataFrame, mode: str, start: Column | None = None, e
     found = F.when(missing, F.array(F.lit("evidence_missing"))).otherwise(
         F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]))
     )
-    return finals.select("doc_id", F.explode(found).alias("rule")).select(
+    return finals.select("doc_id", F.explode_outer(found).alias("rule")).filter(F.col("rule").isNotNull()).select(
         "doc_id", F.lit(at).alias("location"), "rule", F.lit("").alias("detail")
     )
 
@@ -251,4 +251,4 @@ def counts_preserved(projected: DataFrame) -> DataFrame:
         ))
         for name, path in pairs.items()
     ]))
-    return projected.select("doc_id", F.inline(changed))
+    return projected.select("doc_id", F.inline_outer(changed)).filter(F.col("rule").isNotNull())
