@@ -80,8 +80,7 @@ FROM fin
 UNION ALL SELECT content_id || '-x', 'keep' FROM fin WHERE doc_id % 9 = 8""")
 def upsert_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = derive.publications(spark, sf_dir).select(
-        "doc_id", F.try_variant_get("doc", "$.content_id", "string").alias("content_id"),
-        F.try_variant_get("doc", "$.content_sha256", "string").alias("content_sha256"),
+        "doc_id", "content_id", F.try_variant_get("doc", "$.content_sha256", "string").alias("content_sha256"),
     )
     absent = F.col("doc_id") % 9 == 8
     existing = docs.select(
@@ -93,30 +92,31 @@ def upsert_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("upsert_blocked", f"""
-WITH {FINAL_SQL},
-bad AS (SELECT doc_id FROM fin WHERE length(text) > 3000 OR len(lines) > 100 OR doc_id % 2 = 0
-  OR doc_id % 43 < 28 OR regexp_matches(text, '@|[0-9]{{6}}'))
-SELECT content_id, CASE WHEN doc_id % 2 = 0 THEN 'blocked' END AS action FROM fin WHERE doc_id % 2 = 0""")
+WITH {FINAL_SQL}
+SELECT content_id, 'blocked' AS action FROM fin WHERE doc_id % 2 = 0""")
 def upsert_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Existing documents tampered with or unsafe block even a same-hash no-op."""
-    docs = derive.publications(spark, sf_dir).select("doc_id", "doc")
-    tampered = F.when(F.col("doc_id") % 2 == 0, F.parse_json(
-        F.regexp_replace(F.to_json("doc"), '"schema_version":1', '"schema_version":2')
-    )).otherwise(F.col("doc"))
-    existing = publish.existing_state(docs.select("doc_id", tampered.alias("doc"), F.lit("draft").alias("state")))
-    new = docs.select(
-        "doc_id", F.try_variant_get("doc", "$.content_id", "string").alias("content_id"),
-        F.try_variant_get("doc", "$.content_sha256", "string").alias("content_sha256"),
+    """Stored documents are read back, re-validated and re-hashed: one that was
+    tampered with blocks even a same-hash no-op."""
+    even = F.col("doc_id") % 2 == 0
+    docs = derive.publications(spark, sf_dir)
+    kept = scratch_dir(spark, "existing")
+    stored = F.to_json("doc")
+    docs.select(
+        "doc_id", "content_id", F.try_variant_get("doc", "$.content_sha256", "string").alias("content_sha256"),
+        F.when(even, F.regexp_replace(stored, '"schema_version":1', '"schema_version":2')).otherwise(stored).alias("json"),
+    ).write.parquet(kept)
+    table = spark.read.parquet(kept)
+    existing = publish.existing_state(
+        table.select("doc_id", canonical.strict_json(F.col("json")).alias("doc"), F.lit("draft").alias("state"))
     )
-    even = new.filter(F.col("doc_id") % 2 == 0).select("content_id")
-    return publish.plan_upserts(new.drop("doc_id"), existing).join(even, "content_id", "left_semi")
+    plan = publish.plan_upserts(table.select("content_id", "content_sha256"), existing)
+    return plan.join(table.filter(even).select("content_id"), "content_id", "left_semi")
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = derive.publications(spark, sf_dir)
     return docs.select(
-        "doc_id", F.try_variant_get("doc", "$.content_id", "string").alias("content_id"),
-        canonical.content_sha256(F.col("doc")).alias("content_sha256"),
+        "doc_id", "content_id", canonical.content_sha256(F.col("doc")).alias("content_sha256"),
         canonical.canonical_json(F.col("doc")).alias("document"),
     )
 
