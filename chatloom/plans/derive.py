@@ -147,7 +147,7 @@ UNSAFE = (
 )
 
 
-def _sql_list(values: tuple[str, ...]) -> str:
+def sql_list(values: tuple[str, ...]) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
@@ -162,7 +162,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DOC_SQL = f"""
 doc AS (
-  SELECT * REPLACE (text || chr(10) || coalesce({_sql_list(UNSAFE)}[(doc_id % {len(UNSAFE) + len(UNSAFE) // 2}) + 1], '') AS text)
+  SELECT * REPLACE (text || chr(10) || coalesce({sql_list(UNSAFE)}[(doc_id % {len(UNSAFE) + len(UNSAFE) // 2}) + 1], '') AS text)
   FROM documents)"""
 
 

@@ -1 +1,71 @@
-"""Queries."""
+"""Streaming jobs run to completion and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chatloom.plans import derive
+from chatloom.plans.derive import MERGED_SQL, MSG_SQL, STAMP_SQL, stamp, threads_sql
+from chatloom.plans.privacy import RE2_PATHS, RE2_PII, kinds_sql
+from chatloom.plans.registry import query
+from chatloom.streaming import jobs
+
+
+def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = jobs.stream_messages(
+        spark, sf_dir, "parquet", derive.EVENT_SCHEMA, pathGlobFilter="events.parquet"
+    )
+    return derive.as_messages(events)
+
+
+@query("stream_messages", f"WITH {MSG_SQL} SELECT message_id, room_id, text, {STAMP_SQL.format('ts')} AS ts FROM msg")
+def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.run_to_table(_live(spark, sf_dir), "messages").select(
+        "message_id", "room_id", "text", stamp("ts").alias("ts")
+    )
+
+
+@query("stream_dedup", f"WITH {MERGED_SQL} SELECT room_id, dedup_key FROM merged")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    live = _live(spark, sf_dir)
+    both = live.unionByName(derive.overlap(_live(spark, sf_dir)))
+    return jobs.run_to_table(jobs.stream_dedup(both), "dedup").select("room_id", "dedup_key")
+
+
+@query("stream_threads", f"""
+WITH {MSG_SQL}, {threads_sql('msg')},
+t AS (SELECT room_id, thread_id, min(ts) AS s, max(ts) AS e, count(*) AS n_messages FROM threaded GROUP BY ALL)
+SELECT room_id, {STAMP_SQL.format('s')} AS start_ts, {STAMP_SQL.format('e')} AS end_ts, n_messages FROM t
+WHERE e + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM msg) - INTERVAL 1 HOUR""")
+def stream_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.run_to_table(jobs.stream_threads(_live(spark, sf_dir)), "threads").select(
+        "room_id", stamp("start_ts").alias("start_ts"), stamp("end_ts").alias("end_ts"), "n_messages"
+    )
+
+
+@query("stream_digest_stats")
+def stream_digest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.run_to_table(jobs.stream_digest_stats(_live(spark, sf_dir)), "stats")
+
+
+@query("stream_weekly_counts", f"""
+WITH {MSG_SQL} SELECT room_id, week, count(*) AS n_messages FROM msg
+WHERE week::DATE + 7 <= (SELECT max(ts) FROM msg) - INTERVAL 1 HOUR GROUP BY ALL""")
+def stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.run_to_table(jobs.stream_digest_stats(_live(spark, sf_dir)), "stats").select(
+        "room_id", "week", "n_messages"
+    )
+
+
+_ALERT_SQL = f"""
+WITH {MSG_SQL}, t AS (
+  SELECT room_id, message_id, text || ' ' || {derive.sql_list(derive.UNSAFE)}[(message_id % {len(derive.UNSAFE)}) + 1] AS text FROM msg)
+SELECT room_id, message_id, unnest({kinds_sql('text', RE2_PII | RE2_PATHS)}) AS kind FROM t"""
+
+
+@query("stream_pii_alerts", _ALERT_SQL)
+def stream_pii_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.element_at(F.array(*map(F.lit, derive.UNSAFE)), (F.col("message_id") % len(derive.UNSAFE) + 1).cast("int"))
+    unsafe = _live(spark, sf_dir).withColumn("text", F.concat("text", F.lit(" "), line))
+    return jobs.run_to_table(jobs.pii_alerts(unsafe), "alerts", batches=True).select("room_id", "message_id", "kind")
