@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHARD_ROWS = 10_000
@@ -81,16 +81,20 @@ def _by_task(small, chunks, k, query_id, chunk_id, vector, schema) -> DataFrame:
     return chunks.select(chunk_id, vector).mapInPandas(best, schema)
 
 
+def _each(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+
 def _by_block(queries, chunks, k, query_id, chunk_id, vector, schema, block_rows, shard_rows) -> DataFrame:
     blocks = max(1, math.ceil(queries.count() / block_rows))
     shards = max(1, math.ceil(chunks.count() / shard_rows))
     left = chunks.select(
         F.pmod(F.xxhash64(chunk_id), F.lit(shards)).alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("block"),
+        _each(blocks).alias("block"),
         F.col(chunk_id), F.col(vector).alias("vector"),
     )
     right = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("bigint").alias("shard"),
+        _each(shards).alias("shard"),
         F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("block"),
         F.col(query_id), F.col(vector).alias("vector"),
     )
