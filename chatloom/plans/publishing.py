@@ -174,12 +174,12 @@ def draft_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("slug_duplicates", f"""
-WITH {FINAL_SQL}, p AS (SELECT 'community-insight-' || format('{{:03d}}', doc_id % 400) AS slug, 'publications/' || content_id || '/publication.json' AS path FROM fin),
+WITH {FINAL_SQL}, p AS (SELECT 'community-insight-' || format('{{:03d}}', doc_id % 150) AS slug, 'publications/' || content_id || '/publication.json' AS path FROM fin),
 d AS (SELECT slug, count(*) AS n, min(path) AS first_path FROM p GROUP BY slug HAVING count(*) > 1)
 SELECT slug, n, first_path, path FROM p JOIN d USING (slug)""")
 def slug_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = derive.finals(spark, sf_dir).select(
-        F.format_string("community-insight-%03d", F.col("doc_id") % 400).alias("slug"),
+        F.format_string("community-insight-%03d", F.col("doc_id") % 150).alias("slug"),
         store.publication_path(F.col("content_id")).alias("path"),
     )
     return contract.duplicate_slugs(docs)

@@ -14,16 +14,11 @@ def con():
     return oracle_connection(SF_DIR)
 
 
-# Fifteen users and one room at this size: nothing to report for these.
-EMPTY = {"both empty"}
-MAY_BE_EMPTY: set[str] = set()
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, con, name):
     problem = compare(spark, con, name, SF_DIR, entry.queries()[name], ORACLES.get(name))
-    if name in MAY_BE_EMPTY and problem in EMPTY:
-        problem = None
     assert problem is None, problem
 
 
