@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +41,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 @lru_cache(maxsize=1)
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver imported it from."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/chatloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
