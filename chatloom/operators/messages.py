@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom import fixed
 from chatloom.functions import dates, text
 from chatloom.schemas import MESSAGE
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,13 +87,10 @@ def message_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("slice_counts", f"""
-WITH {MSG_SQL}, bounds AS (
-  SELECT max(ts) AS hi FROM msg)
+WITH {MSG_SQL}
 SELECT room_id, count(*) AS n FROM msg
 WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22' GROUP BY room_id""")
 def slice_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from datetime import datetime
-
     rows = M.slice_period(derive.messages(spark, sf_dir), datetime(2024, 1, 8), datetime(2024, 1, 22))
     return rows.groupBy("room_id").agg(F.count(F.lit(1)).alias("n"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom import fixed
 from chatloom.functions import canonical
-from chatloom.operators import contract, projection, publish, recovery, report
+from chatloom.operators import contract, publish, recovery, report
 from chatloom.plans import derive
 from chatloom.plans.derive import CANONICAL_SQL, FINAL_SQL, MSG_SQL
 from chatloom.plans.registry import query

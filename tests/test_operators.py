@@ -5,7 +5,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.functions import canonical
 from chatloom.operators import contract, kb, messages, privacy, projection, publish, recovery
 from chatloom.operators.ranking import running_number
 from chatloom.operators.vector_search import knn
