@@ -10,10 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Module of each operator's query, in the order of their numbers.
-MODULES = ("sentencepiece",)
-_LATER = (
-    "sentencepiece", "lm_scoring", "decontamination", "secrets", "ann",
-    "language_id", "jaccard_join", "substring_dedup", "toxicity", "chat_format",
+MODULES = (
+    "sentencepiece", "decontamination", "secrets", "ann", "language_id", "jaccard_join", "substring_dedup", "chat_format",
 )
 
 
