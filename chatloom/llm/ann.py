@@ -28,7 +28,7 @@ from chatloom.session import ship_package
 
 PIVOTS = 64
 PREFIX = 32
-FRACTION = 0.3
+FRACTION = 0.35
 SHARD_ROWS, BLOCK_ROWS = 8_192, 2_048
 _CHUNK = 128
 
