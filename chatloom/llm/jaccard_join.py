@@ -1,7 +1,7 @@
 """7. N-gram Jaccard join with count-vector R-trees.
 
 Documents are sets of distinct word shingles; two link if ``100 * |intersection| >= 75 * |union|``. The tokens of a
-set are hashed into ``GROUPS`` groups, and the group counts are the document's point. The overlap of two sets is at
+set are hashed into groups, and the group counts are the document's point. The overlap of two sets is at
 most the sum of the smaller coordinates of their points, and the overlap with anything in an R-tree node at most the
 sum of the smaller of query and box maximum; pairs that survive this bound and the size bound are verified on the sets.
 
@@ -35,16 +35,18 @@ from pyspark.sql import functions as F
 from chatloom.llm import words as W
 from chatloom.llm.graph import components, staged
 from chatloom.llm.registry import table
+from chatloom.llm.substring_dedup import pack, unpack
 from chatloom.session import ship_package
 
 SIZE = 5
 #: A pair links if SCALE * intersection >= LEAST * union.
 LEAST, SCALE = 75, 100
-GROUPS = 128
-#: Cells of the sketch of token counts that orders the tokens; its size is fixed (one byte a cell is broadcast).
-SKETCH_BITS = 22
-SKETCH_BLOCKS = 64
-TILE = 1_024
+#: Groups of tokens: a quarter of the median set size within these limits. Larger sets need more to differ.
+GROUPS, MOST_GROUPS = 128, 2_048
+#: The sketch of token counts that orders the tokens has a cell for about eight tokens, 2^24 (bytes, broadcast) at most.
+SKETCH_BITS = 24
+BLOCK_BITS = 18
+TILE = 2_048
 LEAF = 16
 FANOUT = 16
 _NO_ID = -(2**63)
@@ -68,29 +70,30 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 def token_levels(docs: DataFrame, size: int) -> np.ndarray:
     """How often the tokens of each sketch cell occur, in steps of an eighth of an octave."""
-    cells = 1 << SKETCH_BITS
+    octets = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    bits = min(SKETCH_BITS, max(16, (octets // 6 // 8).bit_length()))
+    block_bits = min(BLOCK_BITS, bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.uint32)
         for batch in batches:
-            for _, words in W.split(batch.column(0), lower=True):
-                found, _, _ = W.windows(words.hashes(), words.first, size)
-                total += np.bincount((found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
-        parts = [np.minimum(p, 65535).astype(np.uint16).tobytes() for p in np.split(total, SKETCH_BLOCKS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names=["block", "counts"])
+            found = [W.windows(words.hashes(), words.first, size)[0] for _, words in W.split(batch.column(0), lower=True)]
+            cells = np.sort((np.concatenate([np.zeros(0, np.uint64), *found]) >> np.uint64(64 - bits)).astype(np.int64))
+            blocks, first = np.unique(cells >> block_bits, return_index=True)
+            packed = [pack(part & ((1 << block_bits) - 1)) for part in np.split(cells, first[1:])] if len(cells) else []
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names=["block", "cells"])
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(cells // SKETCH_BLOCKS, np.int64)
-        for counts in part["counts"]:
-            total += np.frombuffer(counts, np.uint16)
+        total = np.zeros(1 << block_bits, np.int64)
+        for packed in part["cells"]:
+            total += np.bincount(unpack(packed), minlength=1 << block_bits)
         levels = np.minimum(8 * np.log2(total + 1.0), 255).astype(np.uint8)
         return pd.DataFrame({"block": part["block"].iloc[:1], "levels": [levels.tobytes()]})
 
-    merged = docs.select("text").mapInArrow(count, "block int, counts binary").groupBy("block").applyInPandas(add, "block int, levels binary")
-    out = np.zeros((SKETCH_BLOCKS, cells // SKETCH_BLOCKS), np.uint8)
+    merged = docs.select("text").mapInArrow(count, "block int, cells binary").groupBy("block").applyInPandas(add, "block int, levels binary")
+    out = np.zeros(1 << bits, np.uint8)
     for r in merged.toLocalIterator():
-        out[r["block"]] = np.frombuffer(r["levels"], np.uint8)
-    return out.ravel()
+        out[r["block"] << block_bits:(r["block"] + 1) << block_bits] = np.frombuffer(r["levels"], np.uint8)
+    return out
 
 
 def describe(docs: DataFrame, size: int, levels: np.ndarray) -> DataFrame:
@@ -99,6 +102,7 @@ def describe(docs: DataFrame, size: int, levels: np.ndarray) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = sent.value
+        shift = np.uint64(65 - len(level).bit_length())
         for batch in batches:
             sizes, nodes, firsts = [], [], []
             for tokens in shingle_sets(batch.column(1), size):
@@ -109,7 +113,7 @@ def describe(docs: DataFrame, size: int, levels: np.ndarray) -> DataFrame:
                     firsts.append(b"")
                     continue
                 nodes.append(int(W.mix(np.array([W.mix(tokens).sum(dtype=np.uint64) + np.uint64(n)]))[0].astype(np.int64)))
-                order = (level[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (W.mix(tokens) >> np.uint64(8))
+                order = (level[(tokens >> shift).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (W.mix(tokens) >> np.uint64(8))
                 first = n - -(-LEAST * n // SCALE) + 1
                 firsts.append((np.partition(order, first - 1)[:first] if first < n else order).tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -203,42 +207,56 @@ class CountTree:
                 break
 
     @staticmethod
-    def _may(point: np.ndarray, n: int, top: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Whether a set of n tokens may link with a set in a box."""
+    def _may(point: np.ndarray, n: int, top: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Boxes in which a set of n tokens may have a link, and the bound of the overlap there."""
         least = np.maximum(low, -(-LEAST * n // SCALE))
-        in_size = (least <= high) & (LEAST * low <= SCALE * n)
-        need = -(-LEAST * (n + least) // (SCALE + LEAST))
-        out = in_size.copy()
-        at = np.flatnonzero(in_size)
-        out[at] = np.minimum(point, top[at]).sum(axis=1, dtype=np.int64) >= need[at]
-        return out
-
-    def near(self, i: int) -> np.ndarray:
-        """Points that point i may link with."""
+        at = np.flatnonzero((least <= high) & (LEAST * low <= SCALE * n))
+        bound = np.minimum(point, top[at]).sum(axis=1, dtype=np.int64)
+        enough = bound >= -(-LEAST * (n + least[at]) // (SCALE + LEAST))
+        return at[enough], bound[enough]
+
+    def near(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Points that point i may link with, and the bounds of their overlaps."""
         point, n = self.points[i], int(self.sizes[i])
         nodes = np.arange(len(self.levels[-1][1]))
         for depth in range(len(self.levels) - 1, -1, -1):
             top, low, high = self.levels[depth]
-            nodes = nodes[self._may(point, n, top[nodes], low[nodes], high[nodes])]
+            nodes = nodes[self._may(point, n, top[nodes], low[nodes], high[nodes])[0]]
             width, count = (FANOUT, len(self.levels[depth - 1][1])) if depth else (LEAF, len(self.order))
             nodes = (nodes[:, None] * width + np.arange(width)).ravel()
             nodes = nodes[nodes < count]
         rows = self.order[nodes]
-        return rows[self._may(point, n, self.points[rows], self.sizes[rows], self.sizes[rows])]
+        at, bound = self._may(point, n, self.points[rows], self.sizes[rows], self.sizes[rows])
+        return rows[at], bound
 
 
 def links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning forest of the links among these sets."""
+    """A spanning forest of the links among these sets; the closest pairs by bound are verified first."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    points = np.stack([np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets]).astype(np.int32)
-    tree, forest, out = CountTree(points, sizes), Forest(), []
-    for i in range(len(sets)):
-        for j in tree.near(i).tolist():
-            if j < i and forest.root(i) != forest.root(j):
+    groups = min(MOST_GROUPS, max(GROUPS, 1 << (int(np.median(sizes)) // 4).bit_length()))
+    narrow = np.uint16 if sizes.max() < 1 << 16 else np.int64
+    points = np.stack([np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(narrow) for s in sets])
+    tree = CountTree(points, sizes)
+    pairs = []
+    for i in range(1, len(sets)):
+        j, bound = tree.near(i)
+        before = j < i
+        pairs.append((np.full(int(before.sum()), i), j[before], bound[before] / (sizes[i] + sizes[j[before]])))
+    a, b, close = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 3
+    order = np.argsort(-close, kind="stable")
+    a, b = a[order], b[order]
+    part, out = np.arange(len(sets)), []
+    while len(a):
+        for i, j in zip(a[:64].tolist(), b[:64].tolist(), strict=True):
+            if part[i] != part[j]:
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if SCALE * both >= LEAST * (sizes[i] + sizes[j] - both):
-                    forest.join(i, j)
+                    part[part == part[i]] = part[j]
                     out.append((i, j))
+        a, b = a[64:], b[64:]
+        if len(a) > 256:
+            apart = part[a] != part[b]
+            a, b = a[apart], b[apart]
     return out
 
 

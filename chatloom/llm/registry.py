@@ -11,6 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Module of each operator's query, in the order of their numbers.
 MODULES = (
+    "toxicity", "lm_scoring",
     "sentencepiece", "decontamination", "secrets", "ann", "language_id", "jaccard_join", "substring_dedup", "chat_format",
 )
 
