@@ -2,15 +2,16 @@
 
 A text is a row of tokens: words, each followed by a blank byte, and one end byte. The model codes it byte by byte,
 each byte as eight binary decisions. For every decision (a bit prefix) there is a context tree over the ``DEPTH`` bytes
-before it, back to the beginning of the token; every node holds a Krichevsky-Trofimov estimator of its counts, and
-context-tree weighting mixes the estimators of all depths. The prediction for a bit walks the contexts that training
-has seen; contexts it never saw have nothing to weigh, so the walk ends at the deepest seen one. The walk does not
-depend on the bit to come, so the bits' probabilities, and those of all texts, sum to 1.
+before it, back to the last ``SUFFIX`` bytes of the word before; every node holds a Krichevsky-Trofimov estimator of
+its counts, and context-tree weighting mixes the estimators of all depths. The prediction for a bit walks the contexts
+that training has seen; contexts it never saw have nothing to weigh, so the walk ends at the deepest seen one. The walk
+does not depend on the bit to come, so the bits' probabilities, and those of all texts, sum to 1.
 
-Contexts end at the token, so a token's code length depends on the token alone. That makes counts and look-ups shuffle
-distinct things: distinct tokens of each block of documents, distinct (context, byte) symbols of each bucket of words.
-Trees are built in buckets of whole subtrees (last two context bytes); only depths 0 and 1 are put together on the
-driver, 256 x 255 nodes at most, and only they are broadcast. Counts cover every training document.
+A token's code length has two parts: the *head*, its first bytes, whose contexts reach into the word before, and the
+rest, which depends on the word alone. So counts and look-ups shuffle distinct things: distinct heads and words of each
+block of documents, distinct (context, byte) symbols of each bucket of those. Trees are built in buckets of whole
+subtrees (last two context bytes); only depths 0 and 1 are put together on the driver, 256 x 255 nodes at most, and
+only they are broadcast. Counts cover every training document.
 
 Cases: null and empty texts are one end token. A null id counts as training. Repeated rows count and score as often as
 they occur. Without training documents every bit has probability 1/2. An empty table gives an empty one. Extra columns
@@ -33,10 +34,12 @@ from chatloom.llm.graph import staged
 from chatloom.llm.registry import table
 from chatloom.session import ship_package
 
-DEPTH = 6
-BLOCK_BYTES = 32 << 20
-WORDS_A_BUCKET, SYMBOLS_A_BUCKET = 400_000, 300_000
-_BLANK, _END = 0x20, 0x0A
+DEPTH, SUFFIX = 5, 2
+#: Bytes of a token whose context holds bytes of the word before: of DEPTH bytes, one is the blank between.
+HEAD = DEPTH - 1
+BLOCK_BYTES = 24 << 20
+UNITS_A_BUCKET, SYMBOLS_A_BUCKET = 400_000, 300_000
+_WORD, _HEAD = b"w", b"h"
 _HALF = math.log(0.5)
 
 
@@ -60,13 +63,34 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def symbols(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(context and byte packed in 7 bytes, number of the word) for all bytes of the words; b'' is the end token."""
-    lead = b"\0" * (DEPTH - 1) + bytes([_BLANK])
-    data = np.frombuffer(b"".join([lead + (w + b" " if w else b"\n") for w in words]), np.uint8).astype(np.int64)
-    sizes = np.array([len(w) + 1 for w in words], np.int64)
-    owner = np.repeat(np.arange(len(words)), sizes)
-    at = np.arange(int(sizes.sum())) + (owner + 1) * DEPTH
+def heads(words: list[bytes]) -> list[bytes]:
+    """The head unit of every word, and of the end after them."""
+    before = [b"", *(w[-SUFFIX:] for w in words)]
+    return [*(_HEAD + p + b" " + (w + b" ")[:HEAD] for p, w in zip(before, words)), _HEAD + before[-1] + b" \n"]
+
+
+def units(words: list[bytes]) -> list[bytes]:
+    """The word units; the end is the one without letters."""
+    return [*(_WORD + w for w in words), _WORD]
+
+
+def symbols(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(context and byte packed in an integer, number of the unit) of all bytes that the units code."""
+    parts, skip = [], np.empty(len(found), np.int64)
+    pad = b"\0" * DEPTH
+    for i, unit in enumerate(found):
+        if unit[:1] == _WORD:
+            parts.append(b" " + unit[1:] + b" ")
+            skip[i] = DEPTH
+        else:
+            parts.append(pad + unit[1:])
+            skip[i] = DEPTH + unit.index(b" ")
+    data = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    coded = np.maximum(sizes - skip, 0)
+    owner = np.repeat(np.arange(len(parts)), coded)
+    first = np.cumsum(sizes) - sizes + skip
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(coded) - coded, coded) + first[owner]
     packed = np.zeros(len(at), np.int64)
     for k in range(DEPTH, -1, -1):
         packed = (packed << 8) | data[at - k]
@@ -141,27 +165,24 @@ def tops(one: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return root, first
 
 
-def block_words(docs: DataFrame) -> DataFrame:
-    """``(block, word, c)``: distinct tokens of each block of documents, with their occurrences in training ones."""
+def block_units(docs: DataFrame) -> DataFrame:
+    """``(block, unit, c)``: distinct units of each block of documents, with their occurrences in training ones."""
 
     def work(part: pd.DataFrame) -> pd.DataFrame:
         known, other = Counter(), set()
         for text, train in zip(part["text"], part["train"], strict=True):
             words = tokens(text)
-            words.append(b"")
-            if train:
-                known.update(words)
-            else:
-                other.update(words)
-        for word in other:
-            known.setdefault(word, 0)
-        return pd.DataFrame({"block": part["block"].iloc[0], "word": list(known), "c": list(known.values())})
+            for found in (units(words), heads(words)):
+                known.update(found) if train else other.update(found)
+        for unit in other:
+            known.setdefault(unit, 0)
+        return pd.DataFrame({"block": part["block"].iloc[0], "unit": list(known), "c": list(known.values())})
 
-    return docs.select("block", "text", "train").groupBy("block").applyInPandas(work, "block int, word binary, c long")
+    return docs.select("block", "text", "train").groupBy("block").applyInPandas(work, "block int, unit binary, c long")
 
 
 def symbol_counts(vocabulary: DataFrame) -> DataFrame:
-    """``(key, n)`` of all symbols of all words; n counts training occurrences and may be 0."""
+    """``(key, n)`` of all symbols of all units; n counts training occurrences and may be 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +191,7 @@ def symbol_counts(vocabulary: DataFrame) -> DataFrame:
             n = np.bincount(back, batch.column(1).to_numpy()[owner], len(found)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["key", "n"])
 
-    return vocabulary.select("word", "c").mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return vocabulary.select("unit", "c").mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def symbol_logs(counted: DataFrame) -> DataFrame:
@@ -195,20 +216,20 @@ def symbol_logs(counted: DataFrame) -> DataFrame:
     return bucketed.groupBy("bucket").applyInPandas(predicted, "key long, log double")
 
 
-def word_logs(vocabulary: DataFrame, logs: DataFrame) -> DataFrame:
-    """``(word, c, log)``: the model's log10 probability of each token. ``vocabulary`` has (bucket, word, c)."""
+def unit_logs(vocabulary: DataFrame, logs: DataFrame) -> DataFrame:
+    """``(unit, c, log)``: the model's log10 probability of what each unit codes. ``vocabulary`` has (bucket, unit, c)."""
 
     def wanted(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"bucket": part["bucket"].iloc[0], "key": np.unique(symbols(part["word"].tolist())[0])})
+        return pd.DataFrame({"bucket": part["bucket"].iloc[0], "key": np.unique(symbols(part["unit"].tolist())[0])})
 
-    def summed(words: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        key, owner = symbols(words["word"].tolist())
+    def summed(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        key, owner = symbols(own["unit"].tolist())
         known = known.sort_values("key")
         log = known["log"].to_numpy()[np.searchsorted(known["key"].to_numpy(), key)]
-        return pd.DataFrame({"word": words["word"], "c": words["c"], "log": np.bincount(owner, log, len(words))})
+        return pd.DataFrame({"unit": own["unit"], "c": own["c"], "log": np.bincount(owner, log, len(own))})
 
     asked = vocabulary.groupBy("bucket").applyInPandas(wanted, "bucket int, key long").join(logs, "key")
-    return vocabulary.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(summed, "word binary, c long, log double")
+    return vocabulary.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(summed, "unit binary, c long, log double")
 
 
 def score_texts(docs: DataFrame, train: str, text: str = "text") -> DataFrame:
@@ -219,33 +240,33 @@ def score_texts(docs: DataFrame, train: str, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c not in (*results, text)]
     octets = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     blocks = max(6, math.ceil(octets / BLOCK_BYTES))
-    # A text and its block depend on nothing but the text, so equal texts meet; hot copies are spread by their other columns.
+    # Copies of one text are spread over the blocks by their other columns.
     narrow = docs.select(
         F.pmod(F.xxhash64(*[f"`{c}`" for c in kept], F.length(text)), F.lit(blocks)).cast("int").alias("block"),
         F.col(text).alias("text"), F.coalesce(F.col(train), F.lit(True)).alias("train"), *[F.col(f"`{c}`").alias(f"own_{k}") for k, c in enumerate(kept)],
     )
-    listed = staged(block_words(narrow), "block-words")
-    vocabulary = listed.groupBy("word").agg(F.sum("c").alias("c"))
-    size = listed.agg(F.approx_count_distinct("word", 0.05)).first()[0]
-    buckets = max(4, math.ceil(size / WORDS_A_BUCKET))
-    vocabulary = staged(vocabulary.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int")), "words")
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+    listed = staged(block_units(narrow), "block-units")
+    size = listed.agg(F.approx_count_distinct("unit", 0.05)).first()[0]
+    buckets = max(4, math.ceil(size / UNITS_A_BUCKET))
+    bucket = F.pmod(F.xxhash64("unit"), F.lit(buckets)).cast("int")
+    vocabulary = staged(listed.groupBy("unit").agg(F.sum("c").alias("c")).withColumn("bucket", bucket), "units")
+    words = vocabulary.filter(F.col("unit").substr(1, 1) == F.lit(_WORD))
+    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     logs = symbol_logs(staged(symbol_counts(vocabulary), "symbols"))
-    known = listed.select("block", "word").join(word_logs(vocabulary, logs), "word")
+    known = listed.select("block", "unit").join(unit_logs(vocabulary, logs), "unit")
 
-    def work(part: pa.Table, words: pa.Table) -> pa.Table:
-        place = {word: i for i, word in enumerate(words.column("word").to_pylist())}
-        c, log = words.column("c").to_numpy(), words.column("log").to_numpy()
+    def work(part: pa.Table, there: pa.Table) -> pa.Table:
+        place = {unit: i for i, unit in enumerate(there.column("unit").to_pylist())}
+        c, log = there.column("c").to_numpy(), there.column("log").to_numpy()
         base = np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
         rows = []
         for text in part.column("text").to_pylist():
-            own = tokens(text)
-            own.append(b"")
-            at = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
-            rows.append((len(own), int((c[at] > 0).sum()), float(base[at].sum()), float(log[at].sum())))
+            words = tokens(text)
+            own, head = (np.fromiter(map(place.__getitem__, x), np.int64, len(words) + 1) for x in (units(words), heads(words)))
+            rows.append((len(own), int((c[own] > 0).sum()), float(base[own].sum()), float(log[own].sum() + log[head].sum())))
         found = zip(*rows, strict=True) if rows else [()] * 4
         columns = [pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)]
-        return pa.Table.from_arrays([*(part.column(f"own_{k}") for k in range(len(kept))), *columns], names=[*owned, "n_tokens", "n_known", "base_score", "score"])
+        return pa.Table.from_arrays([*(part.column(o) for o in owned), *columns], names=[*owned, "n_tokens", "n_known", "base_score", "score"])
 
     owned = [f"own_{k}" for k in range(len(kept))]
     fields = "".join(f"own_{k} {f.dataType.simpleString()}, " for k, f in enumerate(docs.select(*[f"`{c}`" for c in kept]).schema))
