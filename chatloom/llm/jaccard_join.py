@@ -292,7 +292,8 @@ def join(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", text: str =
     task = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("family"), F.lit(tasks))).otherwise(
         F.xxhash64("family", F.least("part", "other"), F.greatest("part", "other")))
     wanted = placed.select(task.alias("task"), "family", "doc")
-    texts = source.join(wanted, source.key == wanted.doc).select("task", "family", "doc", "text")
+    # members grow with the corpus: they are shuffled at every size
+    texts = source.join(wanted.hint("merge"), source.key == wanted.doc).select("task", "family", "doc", "text")
     root = components(verified(texts, size)).withColumnsRenamed({"node": "doc"})
     out = described.select("key", "n", "node").join(nodes, "node", "left").join(root, "doc", "left")
     show = lambda c: F.when(c != _NO_ID, c)
