@@ -45,14 +45,13 @@ def normalize_messages(raw: DataFrame, src: str | None = None) -> DataFrame:
 
 
 def dedup_key() -> Column:
-    """The native id if there is one, else a hash of second, nickname and text."""
-    hashed = F.sha2(
-        F.concat(
-            dates.iso_second(F.col("ts")), F.lit("|"),
-            F.coalesce(F.col("nickname"), F.lit("")), F.lit("|"), F.col("text"),
-        ),
-        256,
-    )
+    """The native id if there is one, else a hash of second, nickname and text.
+
+    Missing parts count as empty, so rows that did not parse stay apart by the
+    parts that they have.
+    """
+    parts = [dates.iso_second(F.col("ts")), F.col("nickname"), F.col("text")]
+    hashed = F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]), 256)
     native = F.col("native_id")
     return F.when(
         native.isNotNull() & (native != ""), F.concat(F.lit("native:"), native)
@@ -60,7 +59,7 @@ def dedup_key() -> Column:
 
 
 def merge_messages(*batches: DataFrame) -> DataFrame:
-    """One row per key over all batches: db before csv before txt, then the earliest.
+    """One row per key over all batches: db before csv before txt, then the earliest; one without a time comes last.
 
     The winner is an aggregate, not a window, so each task first reduces its own
     rows; a key that a third of all rows share costs one row per task to shuffle.
@@ -72,7 +71,7 @@ def merge_messages(*batches: DataFrame) -> DataFrame:
     )
     order = ["ts", "message_id"]
     rest = [c for c in union.columns if c not in order]
-    best = F.min(F.struct(rank.alias("rank"), *order, *rest)).alias("m")
+    best = F.min(F.struct(rank.alias("rank"), F.col("ts").isNull().alias("undated"), *order, *rest)).alias("m")
     return (
         union.groupBy(F.col("room_id").alias("room"), dedup_key().alias("dedup_key")).agg(best)
         .select("dedup_key", *[F.col(f"m.{c}").alias(c) for c in union.columns])
@@ -129,25 +128,29 @@ def thread_name(room: str = "room_id", ordinal: str = "ordinal") -> Column:
 
 
 def split_threads(messages: DataFrame, gap_minutes: int = 30) -> DataFrame:
-    """Messages with ``thread_id``: a new thread starts after a silence > gap."""
+    """Messages with ``thread_id``: a new thread starts after a silence > gap.
+
+    Messages without a time are kept and have no thread.
+    """
     gap = gap_minutes * 60
     keyed = messages.withColumn("bucket", _bucket(gap))
-    per_bucket = keyed.groupBy("room_id", "bucket").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    dated = keyed.filter(F.col("bucket").isNotNull())
+    per_bucket = dated.groupBy("room_id", "bucket").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
     numbered = _bucket_threads(per_bucket, gap).select(
         "room_id", "bucket", thread_name().alias("thread_id")
     )
-    return keyed.join(numbered, ["room_id", "bucket"]).drop("bucket")
+    return keyed.join(numbered, ["room_id", "bucket"], "left").drop("bucket")
 
 
 def threads(messages: DataFrame, gap_minutes: int = 30) -> DataFrame:
-    """One row per thread, from one pass over the messages.
+    """One row per thread of dated messages.
 
     Rows are combined to (room, bucket, nickname) before anything is shuffled;
-    counts and distinct people come from that small table.
+    spans and distinct people both come from that small table.
     """
     gap = gap_minutes * 60
     person = F.when(~F.coalesce(F.col("is_system"), F.lit(False)), F.col("nickname"))
-    small = messages.groupBy(
+    small = messages.filter(F.col("ts").isNotNull()).groupBy(
         "room_id", _bucket(gap).alias("bucket"), person.alias("person")
     ).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi"))
     per_bucket = small.groupBy("room_id", "bucket").agg(

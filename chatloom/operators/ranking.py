@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,15 +17,17 @@ def running_number(
     own, in parallel, and shifted by the row counts of the slices before them;
     only the table of slice counts is ordered per key.
     """
-    sliced = rows.withColumn("_slice", slice_)
+    sliced = rows.withColumn("_slice", slice_)  # a NULL slice or key counts like any other
     by_key = Window.partitionBy(*keys).orderBy("_slice")
     before = (
         sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.sum("_n").over(by_key) - F.col("_n")).drop("_n")
     )
+    before = before.withColumnsRenamed({k: f"_b_{k}" for k in [*keys, "_slice"]})
+    same = reduce(lambda a, b: a & b, [F.equal_null(F.col(k), F.col(f"_b_{k}")) for k in [*keys, "_slice"]])
     inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
     return (
-        sliced.withColumn("_inside", inside).join(before, [*keys, "_slice"])
+        sliced.withColumn("_inside", inside).join(before, same)
         .withColumn(name, (F.col("_before") + F.col("_inside")).cast("bigint"))
-        .drop("_slice", "_inside", "_before")
+        .drop("_slice", "_inside", "_before", *[f"_b_{k}" for k in [*keys, "_slice"]])
     )

@@ -22,21 +22,14 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
-# Tables whose rows are heavy to process, and the key to spread them by.
+# Tables whose rows are heavy to process, and the key to spread them by: a row group cannot be split.
 _HEAVY = {"documents": "doc_id", "pages": "page_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A whole table.
-
-    A row group cannot be split, so a text table in fewer files than cores is
-    spread over the cores first; a table of many files is read as it lies.
-    """
+    """A whole table; one of heavy rows in partitions of even size."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _HEAVY and len(df.inputFiles()) < cores:
-        df = df.repartition(cores, _HEAVY[name])
-    return df
+    return df.hint("rebalance", _HEAVY[name]) if name in _HEAVY else df
 
 
 def stamp(ts: Column | str) -> Column:

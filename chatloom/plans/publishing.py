@@ -10,6 +10,7 @@ from chatloom.functions import canonical
 from chatloom.operators import contract, publish, recovery, report
 from chatloom.plans import derive
 from chatloom.plans.derive import CANONICAL_SQL, FINAL_SQL, MSG_SQL
+from chatloom.plans.documents import text_violations_sql
 from chatloom.plans.registry import query
 from chatloom.session import scratch_dir
 from chatloom.settings import DEFAULTS
@@ -75,42 +76,49 @@ _STATE_SQL = """CASE WHEN doc_id % 7 = 0 THEN 'base' ELSE 'draft' END"""
 @query("upsert_plan", f"""
 WITH {FINAL_SQL}
 SELECT content_id, CASE
-    WHEN doc_id % 9 = 8 THEN 'create' WHEN doc_id % 3 = 1 THEN CASE WHEN doc_id % 7 = 0 THEN 'conflict' ELSE 'update' END ELSE 'noop' END AS action
+    WHEN doc_id % 9 = 8 THEN 'create' WHEN doc_id % 25 = 4 THEN 'blocked'
+    WHEN doc_id % 25 = 5 THEN CASE WHEN doc_id % 3 = 1 THEN 'conflict' ELSE 'noop' END WHEN doc_id % 3 = 1 THEN CASE WHEN doc_id % 7 = 0 THEN 'conflict' ELSE 'update' END ELSE 'noop' END AS action
 FROM fin
 UNION ALL SELECT content_id || '-x', 'keep' FROM fin WHERE doc_id % 9 = 8""")
 def upsert_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = derive.publications(spark, sf_dir).select(
         "doc_id", "content_id", F.try_variant_get("doc", "$.content_sha256", "string").alias("content_sha256"),
     )
+    """Also ids with a second document: an unreadable one, or a base one of the same or another content beside a draft."""
     absent = F.col("doc_id") % 9 == 8
     existing = docs.select(
         F.when(absent, F.concat("content_id", F.lit("-x"))).otherwise(F.col("content_id")).alias("content_id"),
         F.when(F.col("doc_id") % 3 == 1, F.sha2("content_sha256", 256)).otherwise(F.col("content_sha256")).alias("content_sha256"),
-        F.when(F.col("doc_id") % 7 == 0, "base").otherwise("draft").alias("state"), F.lit(True).alias("valid"),
+        F.when(F.col("doc_id") % 7 == 0, "base").otherwise("draft").alias("state"), F.lit(True).alias("valid"), "doc_id",
     )
+    present = existing.filter(~absent)
+    unreadable = present.filter("doc_id % 25 = 4").withColumns({"content_sha256": F.lit(None).cast("string"), "valid": F.lit(False)})
+    base = present.filter("doc_id % 25 = 5").withColumn("state", F.lit("base"))
+    existing = existing.unionByName(unreadable).unionByName(base)
     return publish.plan_upserts(docs.select("content_id", "content_sha256"), existing)
 
 
 @query("upsert_blocked", f"""
-WITH {FINAL_SQL}
-SELECT content_id, 'blocked' AS action FROM fin WHERE doc_id % 2 = 0""")
+WITH {CANONICAL_SQL}, {text_violations_sql()}
+SELECT content_id, CASE WHEN doc_id % 2 = 0 OR doc_id % 11 = 3 OR doc_id IN (SELECT doc_id FROM found) THEN 'blocked' ELSE 'noop' END AS action
+FROM fin""")
 def upsert_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored documents are read back, re-validated and re-hashed: one that was
-    tampered with blocks even a same-hash no-op."""
+    tampered with or cannot be read blocks even a same-hash no-op."""
     even = F.col("doc_id") % 2 == 0
     docs = derive.publications(spark, sf_dir)
     kept = scratch_dir(spark, "existing")
     stored = F.to_json("doc")
     docs.select(
         "doc_id", "content_id", F.try_variant_get("doc", "$.content_sha256", "string").alias("content_sha256"),
-        F.when(even, F.regexp_replace(stored, '"schema_version":1', '"schema_version":2')).otherwise(stored).alias("json"),
+        F.when(F.col("doc_id") % 11 == 3, F.lit("not json"))
+        .when(even, F.regexp_replace(stored, '"schema_version":1', '"schema_version":2')).otherwise(stored).alias("json"),
     ).write.parquet(kept)
     table = spark.read.parquet(kept)
     existing = publish.existing_state(
-        table.select("doc_id", canonical.strict_json(F.col("json")).alias("doc"), F.lit("draft").alias("state"))
+        table.select("doc_id", "content_id", canonical.strict_json(F.col("json")).alias("doc"), F.lit("draft").alias("state"))
     )
-    plan = publish.plan_upserts(table.select("content_id", "content_sha256"), existing)
-    return plan.join(table.filter(even).select("content_id"), "content_id", "left_semi")
+    return publish.plan_upserts(table.select("content_id", "content_sha256"), existing)
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,9 +32,14 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) a temporary folder is used.
+    Without that setting a temporary folder is used in local mode only: on a
+    cluster every executor would write to a disk of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/chatloom/{name}-{uuid.uuid4().hex}"
 
 
