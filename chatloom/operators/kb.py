@@ -80,14 +80,9 @@ def source_violations(chunks: DataFrame, allowed: tuple[str, ...] = DEFAULTS.chu
 
 
 def search_chunks(queries: DataFrame, chunks: DataFrame, k: int, **ids: str) -> DataFrame:
-    """Nearest live chunks, re-ranked by similarity, then newest, then id."""
+    """Nearest live chunks, by similarity, then newest, then id."""
     live = chunks.filter(~F.col("superseded"))
-    chunk_id = ids.get("chunk_id", "chunk_id")
-    query_id = ids.get("query_id", "query_id")
-    near = knn(queries, live, k, **ids).drop("position")
-    dated = near.join(live.select(chunk_id, "updated_at"), chunk_id)
-    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.desc("updated_at"), chunk_id)
-    return dated.withColumn("position", F.row_number().over(order).cast("bigint"))
+    return knn(queries, live, k, newest="updated_at", **ids)
 
 
 def crawl_scope(pages: DataFrame, sources: tuple[CrawlSource, ...], lang: Column, same_page: list[str]) -> DataFrame:

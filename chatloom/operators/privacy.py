@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from chatloom.operators.ranking import running_number
 from chatloom.settings import DEFAULTS, NamePolicy
 
 WORD = r"(?U)[\w-]+"
+_NEVER = datetime(9999, 1, 1)
 
 
 def first_seen(messages: DataFrame, keys: list[str]) -> DataFrame:
@@ -27,7 +30,7 @@ def public_name_exemption(nicknames: DataFrame, public_names: DataFrame) -> Data
 
 
 def pseudonym_map(messages: DataFrame, public_names: DataFrame, keys: list[str]) -> DataFrame:
-    """Pseudonym per nickname and period, in order of first appearance.
+    """Pseudonym per nickname and period, in order of first appearance; people without a dated message come last.
 
     The map is a lazy frame: it is recomputed wherever it is used and no job
     writes it.
@@ -38,7 +41,7 @@ def pseudonym_map(messages: DataFrame, public_names: DataFrame, keys: list[str])
     )
     numbered = running_number(
         people.filter(F.col("display").isNull()).drop("display"),
-        keys, F.date_trunc("minute", "first_ts"), ["first_ts", "nickname"], "n",
+        keys, F.coalesce(F.date_trunc("minute", "first_ts"), F.lit(_NEVER)), [F.asc_nulls_last("first_ts"), "nickname"], "n",
     )
     hidden = numbered.select(
         *keys, "nickname",
@@ -57,11 +60,13 @@ def resolve_nickname(mapping: DataFrame, wanted: DataFrame, keys: list[str]) ->
 
 
 def candidate_words(col: Column) -> Column:
-    """Words of a text, as they stand and without a trailing particle."""
+    """Words of a text, as they stand and with one to three particles or honorifics taken off the end."""
     words = F.regexp_extract_all(col, F.lit(WORD), F.lit(0))
-    particle = "(?:" + "|".join(fixed.PARTICLES) + r")\z"
-    bare = F.transform(words, lambda w: F.regexp_replace(w, F.lit(particle), F.lit("")))
-    return F.array_distinct(F.concat(words, bare, F.array(F.lit(""))))
+    endings = sorted((*fixed.PARTICLES, *fixed.NAME_ENDINGS), key=len, reverse=True)
+    ending = "(?:" + "|".join(endings) + r")\z"
+    bare = lambda w: F.regexp_replace(w, F.lit(ending), F.lit(""))
+    forms = F.transform(words, lambda w: F.array(w, bare(w), bare(bare(w)), bare(bare(bare(w)))))
+    return F.filter(F.array_distinct(F.flatten(forms)), lambda w: w != "")
 
 
 def apply_pseudonyms(
@@ -71,14 +76,17 @@ def apply_pseudonyms(
 
     A name is looked for where its first word occurs in the text, found by an
     equi-join of words, so that no row meets the whole list of names of its
-    room.  Every whole occurrence is then replaced.
+    room.  Only names without a word character, where a room has any, meet all
+    texts of the room.  Every whole occurrence is then replaced.
     """
-    roster = mapping.select(*keys, "nickname", "pseudonym").withColumn(
+    roster = mapping.select(*keys, "nickname", "pseudonym").filter("nickname <> ''").withColumn(
         "word", F.regexp_extract("nickname", WORD, 0)
     )
     words = rows.select(*keys, id_col, F.explode(candidate_words(F.col(text_col))).alias("word"))
+    by_word = words.join(roster.filter("word <> ''"), [*keys, "word"]).drop("word")
+    by_room = rows.select(*keys, id_col).join(roster.filter("word = ''").drop("word"), keys)
     found = (
-        words.join(roster, [*keys, "word"])
+        by_word.unionByName(by_room)
         .groupBy(*keys, id_col)
         .agg(F.sort_array(F.collect_set(
             F.struct((-F.length("nickname")).alias("order"), "nickname", "pseudonym")

@@ -1,110 +1,95 @@
 """Exact nearest neighbours by cosine.
 
-A query batch of checked, small size is sent to the chunks: every task keeps its
-own best k per query while its rows stream by, and only those are shuffled.  A
-larger query table takes the block way: chunks are spread over shards and
-queries over blocks by a hash of their ids, and each (shard, block) pair is one
-dense product of bounded size.
+Chunks are spread over shards and queries over blocks by a hash of their ids;
+each (shard, block) pair is one task's work of bounded size and keeps the best k
+of its shard.  There is one way for every number of rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD_ROWS = 10_000
-BLOCK_ROWS = 1_000
+SHARD_ROWS, BLOCK_ROWS = 20_000, 2_000
+_COLUMNS, _ROWS = 2_000, 250
 
 
-def _unit(vectors) -> np.ndarray:
-    m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    return m / np.where(norm == 0, 1.0, norm)
-
-
-def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best k columns per row, ties by the smaller id; ids may differ per row."""
-    order = np.lexsort((ids, -scores), axis=1)[:, :k]
-    return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
+def usable(vector: Column, size: int | None = None) -> Column:
+    """A vector of finite numbers (of one size)."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(finite & (F.size(vector) > 0) & (F.size(vector) == size if size else F.lit(True)), F.lit(False))
 
 
-def _frame(query_ids, scores, ids, query_id: str, chunk_id: str) -> pd.DataFrame:
-    return pd.DataFrame({
-        query_id: np.repeat(np.asarray(query_ids), scores.shape[1]),
-        chunk_id: ids.ravel(), "similarity": scores.ravel(),
-    })
+def vector_rejects(rows: DataFrame, id_col: str, vector: str, size: int) -> DataFrame:
+    """Rows that no search finds: their vector is missing, of another size or not finite."""
+    v = F.col(vector)
+    reason = F.when(v.isNull(), "missing").when(F.size(v) != size, "size").when(~usable(v, size), "not_finite")
+    return rows.select(id_col, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
-def knn(
-    queries: DataFrame, chunks: DataFrame, k: int,
-    query_id: str = "query_id", chunk_id: str = "chunk_id", vector: str = "embedding",
-    block_rows: int = BLOCK_ROWS, shard_rows: int = SHARD_ROWS,
-) -> DataFrame:
-    """``(query_id, chunk_id, similarity, position)`` of the k best chunks per query."""
-    small = queries.select(query_id, vector).limit(block_rows + 1).toPandas()
-    schema = (
-        f"{query_id} {queries.schema[query_id].dataType.simpleString()}, "
-        f"{chunk_id} {chunks.schema[chunk_id].dataType.simpleString()}, similarity double"
-    )
-    if small.empty:
-        local = chunks.sparkSession.createDataFrame([], schema)
-    elif len(small) <= block_rows:
-        local = _by_task(small, chunks, k, query_id, chunk_id, vector, schema)
-    else:
-        local = _by_block(queries, chunks, k, query_id, chunk_id, vector, schema, block_rows, shard_rows)
-    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), chunk_id)
-    return local.withColumn("position", F.row_number().over(order).cast("bigint")).filter(F.col("position") <= k)
-
-
-def _by_task(small, chunks, k, query_id, chunk_id, vector, schema) -> DataFrame:
-    shared = chunks.sparkSession.sparkContext.broadcast((small[query_id].to_numpy(), _unit(small[vector])))
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, matrix = shared.value
-        scores = ids = None
-        for batch in batches:
-            if batch.empty:
-                continue
-            fresh = matrix @ _unit(batch[vector]).T
-            fresh_ids = np.broadcast_to(batch[chunk_id].to_numpy(), fresh.shape)
-            if scores is not None:
-                fresh, fresh_ids = np.hstack([scores, fresh]), np.hstack([ids, fresh_ids])
-            scores, ids = _top(fresh, fresh_ids, k)
-        if scores is not None:
-            yield _frame(query_ids, scores, ids, query_id, chunk_id)
-
-    return chunks.select(chunk_id, vector).mapInPandas(best, schema)
+def _unit(vectors: pd.Series) -> np.ndarray:
+    m = np.stack(vectors.to_numpy()).astype(np.float64)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return m / np.where(norm == 0, 1.0, norm)
 
 
 def _each(n: int) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
 
 
-def _by_block(queries, chunks, k, query_id, chunk_id, vector, schema, block_rows, shard_rows) -> DataFrame:
-    blocks = max(1, math.ceil(queries.count() / block_rows))
-    shards = max(1, math.ceil(chunks.count() / shard_rows))
+def knn(
+    queries: DataFrame, chunks: DataFrame, k: int,
+    query_id: str = "query_id", chunk_id: str = "chunk_id", vector: str = "embedding", newest: str | None = None,
+    block_rows: int = BLOCK_ROWS, shard_rows: int = SHARD_ROWS,
+) -> DataFrame:
+    """``(query_id, chunk_id, similarity, position)`` of the k best chunks per query.
+
+    Equal similarities go to the later ``newest`` (kept in the result), then to
+    the smaller id.  Rows without a usable vector of the queries' size take no
+    part; ``vector_rejects`` lists them.
+    """
+    size = queries.filter(usable(F.col(vector))).agg(F.max(F.size(vector))).first()[0] or 1
+    fits = usable(F.col(vector), size)
+    chunks, queries = chunks.filter(fits), queries.filter(fits)
+    blocks, shards = (max(1, math.ceil(df.count() / rows)) for df, rows in ((queries, block_rows), (chunks, shard_rows)))
+    extra = [newest] if newest else []
     left = chunks.select(
-        F.pmod(F.xxhash64(chunk_id), F.lit(shards)).alias("shard"),
-        _each(blocks).alias("block"),
-        F.col(chunk_id), F.col(vector).alias("vector"),
+        F.pmod(F.xxhash64(chunk_id), F.lit(shards)).alias("shard"), _each(blocks).alias("block"),
+        F.col(chunk_id), *extra, F.col(vector).alias("vector"),
     )
     right = queries.select(
-        _each(shards).alias("shard"),
-        F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("block"),
+        _each(shards).alias("shard"), F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("block"),
         F.col(query_id), F.col(vector).alias("vector"),
     )
+    kinds = {**dict(queries.dtypes), **dict(chunks.dtypes)}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (query_id, chunk_id, *extra)) + ", similarity double"
 
     def best(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if c.empty or q.empty:
-            return pd.DataFrame({query_id: [], chunk_id: [], "similarity": []})
-        scores = _unit(q["vector"]) @ _unit(c["vector"]).T
-        top, ids = _top(scores, np.broadcast_to(c[chunk_id].to_numpy(), scores.shape), k)
-        return _frame(q[query_id], top, ids, query_id, chunk_id)
+            return pd.DataFrame({x: [] for x in (query_id, chunk_id, *extra, "similarity")})
+        # in the order that breaks ties, so that a stable sort by similarity is enough
+        c = c.sort_values([*extra, chunk_id], ascending=[False] * len(extra) + [True], kind="stable").reset_index(drop=True)
+        matrix, out = _unit(c["vector"]), []
+        for at in range(0, len(q), _ROWS):
+            own = q.iloc[at:at + _ROWS]
+            wanted = _unit(own["vector"])
+            kept, score = np.zeros((len(own), 0), np.int64), np.zeros((len(own), 0))
+            for first in range(0, len(c), _COLUMNS):
+                fresh = wanted @ matrix[first:first + _COLUMNS].T
+                score = np.hstack([score, fresh])
+                kept = np.hstack([kept, np.broadcast_to(np.arange(first, first + fresh.shape[1]), fresh.shape)])
+                order = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                score, kept = np.take_along_axis(score, order, axis=1), np.take_along_axis(kept, order, axis=1)
+            found = c.iloc[kept.ravel()][[chunk_id, *extra]].reset_index(drop=True)
+            found.insert(0, query_id, np.repeat(own[query_id].to_numpy(), kept.shape[1]))
+            out.append(found.assign(similarity=score.ravel()))
+        return pd.concat(out)
 
     pair = ["shard", "block"]
-    return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInPandas(best, schema)
+    near = left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInPandas(best, schema)
+    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), *map(F.desc_nulls_last, extra), chunk_id)
+    return near.withColumn("position", F.row_number().over(order).cast("bigint")).filter(F.col("position") <= k)

@@ -132,15 +132,22 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("chunk_search", f"""
 WITH {_CENTROIDS_SQL},
-live AS (SELECT * FROM embeddings WHERE vec_id % 4 <> 0),
+dated AS (
+  SELECT vec_id, embedding, strftime(DATE '2024-01-01' + (vec_id % 30)::INT, '%Y-%m-%d') AS updated FROM embeddings WHERE vec_id % 4 <> 0),
+live AS (SELECT * FROM dated UNION ALL SELECT vec_id + 1000000, embedding, strftime(DATE '2024-03-01' + (vec_id % 30)::INT, '%Y-%m-%d') FROM dated),
 r AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id
-        ORDER BY list_cosine_similarity(vec, embedding::DOUBLE[]) DESC, vec_id) AS position FROM q, live)
-SELECT query_id, vec_id, strftime(DATE '2024-01-01' + (vec_id % 30)::INT, '%Y-%m-%d') AS updated, position FROM r WHERE position <= 5""")
+        ORDER BY round(list_cosine_similarity(vec, embedding::DOUBLE[]), 12) DESC, updated DESC, vec_id) AS position, updated FROM q, live)
+SELECT query_id, vec_id, updated, position FROM r WHERE position <= 5""")
 def chunk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = derive.table(spark, sf_dir, "embeddings").select(
         "vec_id", "embedding", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("vec_id") % 30).cast("int")).alias("updated_at"),
         (F.col("vec_id") % 4 == 0).alias("superseded"),
     )
+    # every live chunk has a later twin with an equal vector, and some rows have no usable vector
+    twins = chunks.filter("NOT superseded").withColumns({"vec_id": F.col("vec_id") + 1000000, "updated_at": F.date_add("updated_at", 60)})
+    broken = chunks.filter("superseded").withColumns({
+        "superseded": F.lit(False), "embedding": F.when(F.col("vec_id") % 8 == 0, F.slice("embedding", 1, 3))})
+    chunks = chunks.unionByName(twins).unionByName(broken)
     return kb.search_chunks(_centroids(spark, sf_dir), chunks, 5, chunk_id="vec_id").select(
         "query_id", "vec_id", F.date_format("updated_at", "yyyy-MM-dd").alias("updated"), "position"
     )

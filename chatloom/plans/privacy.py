@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions import text
@@ -86,6 +86,31 @@ def pseudonymised_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("message_id", "text")
 
 
+# A name as it stands in Korean text: bare, mentioned, with a particle, an honorific, or both.
+_FORMS = (("@", ""), ("", "님이"), ("", "쌤이"), ("", "님께"), ("", "샘"), ("", "한테"), ("", "랑"), ("", "가"), ("(", ")"), ("", "선생님께서는"))
+_NAMED_SQL = MAP_SQL + f""",
+forms AS (SELECT message_id, room_id, week, nickname, {derive.sql_list(tuple(a for a, _ in _FORMS))}[message_id % {len(_FORMS)} + 1] AS head,
+  {derive.sql_list(tuple(b for _, b in _FORMS))}[message_id % {len(_FORMS)} + 1] AS tail FROM msg)"""
+
+
+@query("pseudonymised_names", f"""
+WITH {_NAMED_SQL}
+SELECT message_id, '오늘 ' || head || coalesce(pseudonym, CASE WHEN nickname LIKE '%7' THEN '꼬마 ' ELSE '' END || replace(nickname, 'user_', '민수'))
+  || tail || ' 말했다' AS text
+FROM forms LEFT JOIN map USING (room_id, week, nickname)""")
+def pseudonymised_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message speaks of its author in one of the usual forms; some names have two words."""
+    def renamed(name: str) -> Column:
+        own = F.regexp_replace(name, "user_", "민수")
+        return F.when(F.col(name).endswith("7"), F.concat(F.lit("꼬마 "), own)).otherwise(own)
+
+    form = F.element_at(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _FORMS]), (F.col("message_id") % len(_FORMS) + 1).cast("int"))
+    rows = _weekly(spark, sf_dir).select(
+        *ROOM_WEEK, "message_id", F.concat(F.lit("오늘 "), form["a"], renamed("nickname"), form["b"], F.lit(" 말했다")).alias("text"))
+    mapping = _map(spark, sf_dir).withColumn("nickname", renamed("nickname"))
+    return privacy.apply_pseudonyms(rows, mapping, ROOM_WEEK, "message_id", "text").select("message_id", "text")
+
+
 @query("pseudonym_count", f"""
 WITH {REPLACED_SQL}
 SELECT message_id, len(list_distinct(regexp_extract_all(text, '(?:함께한 선생님|참여자)[A-Z]+')))::BIGINT AS n FROM replaced""")
