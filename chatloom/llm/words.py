@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are hashed in slices of about this many bytes, so memory does not follow the batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1_000_000
 
 _U = np.uint64
 _random = np.random.Generator(np.random.PCG64(20240229))
