@@ -11,7 +11,7 @@ from chatloom.functions import dates, text
 from chatloom.operators import messages as M
 from chatloom.operators import report, runlog
 from chatloom.plans import derive
-from chatloom.plans.derive import MERGED_SQL, MSG_SQL, STAMP_SQL, stamp, threads_sql, week
+from chatloom.plans.derive import GAPPY_MERGED_SQL, GAPPY_SQL, MERGED_SQL, MSG_SQL, STAMP_SQL, stamp, threads_sql, week
 from chatloom.plans.registry import query
 from chatloom.session import scratch_dir
 from chatloom.sources import chat
@@ -62,10 +62,12 @@ def weekly_digest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("dedup_overlap", f"""
-WITH {MERGED_SQL}
+WITH {GAPPY_MERGED_SQL}
 SELECT room_id, dedup_key, message_id, src, {STAMP_SQL.format('ts')} AS ts FROM merged""")
 def dedup_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merged(spark, sf_dir).select("room_id", "dedup_key", "message_id", "src", stamp("ts").alias("ts"))
+    """Some messages have no time or no text; they stay apart by the parts that they have."""
+    own = derive.gappy(derive.messages(spark, sf_dir))
+    return M.merge_messages(own, derive.overlap(own)).select("room_id", "dedup_key", "message_id", "src", stamp("ts").alias("ts"))
 
 
 @query("threads_gap", f"""
@@ -81,9 +83,10 @@ def threads_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("message_threads", f"""
-WITH {MSG_SQL}, {threads_sql('msg')} SELECT message_id, thread_id FROM threaded""")
+WITH {GAPPY_SQL}, dated AS (SELECT * FROM msg WHERE ts IS NOT NULL), {threads_sql('dated')}
+SELECT message_id, thread_id FROM threaded UNION ALL SELECT message_id, NULL FROM msg WHERE ts IS NULL""")
 def message_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.split_threads(derive.messages(spark, sf_dir)).select("message_id", "thread_id")
+    return M.split_threads(derive.gappy(derive.messages(spark, sf_dir))).select("message_id", "thread_id")
 
 
 @query("slice_counts", f"""
@@ -247,6 +250,19 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_messages_jsonl(spark, path).select(*_ALL.split(", "), stamp("ts").alias("ts"))
 
 
+@query("jsonl_rejects", f"""
+WITH {MSG_SQL}
+SELECT message_id, CASE message_id % 6 WHEN 1 THEN 'rejected' ELSE 'kept' END AS fate FROM msg""")
+def jsonl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sixth line is cut off in the middle; each line is either read or listed as it was."""
+    path = scratch_dir(spark, "jsonl")
+    line = F.to_json(F.struct("message_id", "room_id", "text", "nickname", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts")))
+    cut = F.when(F.col("message_id") % 6 == 1, F.expr("substring(line, 1, length(line) - 4)")).otherwise(F.col("line"))
+    derive.messages(spark, sf_dir).withColumn("line", line).select(cut.alias("value")).write.text(path)
+    rejected = chat.rejected_jsonl(spark, path).select(F.regexp_extract("line", '"message_id":([0-9]+)', 1).cast("bigint").alias("message_id"), F.lit("rejected").alias("fate"))
+    return chat.read_messages_jsonl(spark, path).select("message_id", F.lit("kept").alias("fate")).unionByName(rejected)
+
+
 @query("message_store", f"""
 WITH {MSG_SQL} SELECT room_id, message_id, week AS period_id, text FROM msg WHERE week = '2024-01-08'""")
 def message_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,22 +130,28 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("published_changed", f"""
-WITH {FINAL_SQL}
-SELECT content_id, CASE WHEN doc_id % 5 = 0 THEN 'updated' WHEN doc_id % 5 = 1 THEN 'created' ELSE 'unchanged' END AS status,
-       true AS stored FROM fin""")
+WITH {CANONICAL_SQL}
+SELECT content_id, CASE WHEN doc_id % 13 = 6 THEN 'refused' WHEN doc_id % 5 = 0 THEN 'updated' WHEN doc_id % 5 = 1 THEN 'created' ELSE 'unchanged' END AS status,
+       CASE WHEN doc_id % 5 = 1 AND doc_id % 13 = 6 THEN NULL ELSE sha256(canonical) END AS stored FROM canon
+UNION ALL SELECT 'x-' || content_id, 'refused', NULL FROM fin WHERE doc_id % 10 = 2""")
 def published_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write an older state, then the current one; report what the second write did."""
+    """Write an older state, then the current one; report what the second write did.
+
+    Among the new documents are invalid ids and ids with two documents.
+    """
     target = scratch_dir(spark, "publications")
     docs = _stored(spark, sf_dir)
     case = F.col("doc_id") % 5
+    current = (F.col("doc_id") % 13 != 6) & (case == 0)
     older = docs.filter(case != 1).withColumn(
-        "content_sha256", F.when(case == 0, F.sha2("content_sha256", 256)).otherwise(F.col("content_sha256"))
+        "content_sha256", F.when(current, F.sha2("content_sha256", 256)).otherwise(F.col("content_sha256"))
     )
+    doubled = docs.filter("doc_id % 13 = 6").withColumn("content_sha256", F.sha2("content_sha256", 256))
+    misnamed = docs.filter("doc_id % 10 = 2").withColumn("content_id", F.concat(F.lit("x-"), "content_id"))
     store.write_publications_if_changed(older.drop("doc_id"), target)
-    outcome = store.write_publications_if_changed(docs.drop("doc_id"), target)
-    kept = store.read_publications(spark, target).select(
-        "content_id", (F.length("document") > 0).alias("stored")
-    )
+    outcome = store.write_publications_if_changed(docs.unionByName(doubled).unionByName(misnamed).drop("doc_id"), target)
+    plain = F.regexp_replace("document", ',"content_sha256":"[0-9a-f]*"', "")
+    kept = store.read_publications(spark, target).select("content_id", F.sha2(plain, 256).alias("stored"))
     return outcome.join(kept, "content_id", "left")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from chatloom.functions.vectors import nfc
 from chatloom.schemas import CHAT_CSV, MESSAGE
@@ -32,8 +33,25 @@ def write_messages_jsonl(messages: DataFrame, path: str) -> None:
 
 
 def read_messages_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """One message per line; blank lines are skipped, the schema is given, not inferred."""
-    return spark.read.schema(MESSAGE).json(path).filter(F.col("ts").isNotNull() | F.col("text").isNotNull())
+    """One message per line; the schema is given, not inferred.
+
+    Blank lines are skipped; lines that are no JSON object are listed by
+    ``rejected_jsonl``.
+    """
+    return _jsonl(spark, path).filter(F.col("_line").isNull()).drop("_line")
+
+
+def rejected_jsonl(spark: SparkSession, path: str) -> DataFrame:
+    """``(line)``: what ``read_messages_jsonl`` cannot read, as it stands in the file."""
+    return _jsonl(spark, path).filter(F.col("_line").isNotNull()).select(F.col("_line").alias("line"))
+
+
+def _jsonl(spark: SparkSession, path: str) -> DataFrame:
+    schema = StructType([*MESSAGE.fields, StructField("_line", StringType())])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"})
+    return lines.select(parsed.alias("m"), "value").select(
+        *[F.col(f"m.{f.name}").alias(f.name) for f in MESSAGE.fields], F.coalesce("m._line", F.when(F.col("m").isNull(), F.col("value"))).alias("_line"))
 
 
 def write_messages(messages: DataFrame, path: str) -> None:
