@@ -283,8 +283,20 @@ def html_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# One kind of broken page per rule of the layout: what is replaced, by what, and the problem that it is.
+_BROKEN_PAGES = {
+    1: ('<dd class="num">', '<dd class="num">about ', "stats that is no number"),
+    2: ('<ol class="topics">', "<ol>", "missing topics list"),
+    3: ('<div class="a">', '<div class="b">', "faq without answer"),
+    4: ('</header>', '</header><section id="tips"></section>', "repeated tips"),
+    5: ('<p class="act">', '<p class="fact">', "actions without text"),
+    6: ('<p class="period">', '<p class="periods">', "masthead without period"),
+}
+_PROBLEM_SQL = "CASE WHEN doc_id % 10 = 9 THEN 'missing tips' " + " ".join(f"WHEN doc_id % 20 = {k} THEN '{v[2]}'" for k, v in _BROKEN_PAGES.items()) + " END"
+
+
 def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviewed report pages in the legacy layout, one per insight set; every tenth lacks its tips."""
+    """Reviewed report pages one per insight set; every tenth lacks its tips, others break the layout in one way."""
     def esc(c: Column) -> Column:
         for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
             c = F.replace(c, F.lit(raw), F.lit(safe))
@@ -326,23 +338,28 @@ def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def section(name: str, inner: Column) -> Column:
         return c(F.lit(f'<section id="{name}"><h2>{name}</h2>'), inner, F.lit("</section>"))
 
-    return d.select("doc_id", "start", "end", "issue", c(
+    page = c(
         head, section("topics", c(F.lit('<ol class="topics">'), topics, F.lit("</ol>"))), section("solved", faq),
         section("open", c(F.lit('<ul class="open-list">'), opened, F.lit("</ul>"))),
         F.when(F.col("doc_id") % 10 == 9, F.lit("")).otherwise(section("tips", tips)), section("actions", actions),
         F.lit("</body></html>"),
-    ).alias("html"))
+    )
+    edits = F.when(F.lit(False), F.col("html"))
+    for case, (old, new, _) in _BROKEN_PAGES.items():
+        edits = edits.when(F.col("doc_id") % 20 == case, F.replace("html", F.lit(old), F.lit(new)))
+    whole = d.select("doc_id", "start", "end", "issue", page.alias("html"))
+    return whole.withColumn("html", edits.otherwise(F.col("html")))
 
 
 @query("report_items", f"""
-WITH {FINAL_SQL}
-SELECT doc_id, CASE WHEN doc_id % 10 = 9 THEN 'missing tips' END AS problem,
-  CASE WHEN doc_id % 10 <> 9 THEN issue || '호' END AS issue, CASE WHEN doc_id % 10 <> 9 THEN 1::BIGINT END AS topics,
-  CASE WHEN doc_id % 10 <> 9 THEN n_faq END AS faq, CASE WHEN doc_id % 10 <> 9 THEN n_open END AS unresolved,
-  CASE WHEN doc_id % 10 <> 9 THEN len(lines)::BIGINT END AS tips, CASE WHEN doc_id % 10 <> 9 THEN 1::BIGINT END AS actions,
-  CASE WHEN doc_id % 10 <> 9 THEN 1200 + doc_id % 90 + 10 END AS messages,
-  CASE WHEN doc_id % 10 <> 9 THEN md5(trim(regexp_replace(text, '[\\s\\p{{Z}}\\x0b\\x1c-\\x1f\\x85]+', ' ', 'g'))) END AS intro
-FROM fin""")
+WITH {FINAL_SQL}, judged AS (SELECT *, {_PROBLEM_SQL} AS problem FROM fin)
+SELECT doc_id, problem,
+  CASE WHEN problem IS NULL THEN issue || '호' END AS issue, CASE WHEN problem IS NULL THEN 1::BIGINT END AS topics,
+  CASE WHEN problem IS NULL THEN n_faq END AS faq, CASE WHEN problem IS NULL THEN n_open END AS unresolved,
+  CASE WHEN problem IS NULL THEN len(lines)::BIGINT END AS tips, CASE WHEN problem IS NULL THEN 1::BIGINT END AS actions,
+  CASE WHEN problem IS NULL THEN 1200 + doc_id % 90 + 10 END AS messages,
+  CASE WHEN problem IS NULL THEN md5(trim(regexp_replace(text, '[\\s\\p{{Z}}\\x0b\\x1c-\\x1f\\x85]+', ' ', 'g'))) END AS intro
+FROM judged""")
 def report_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.extract_report_html(report_pages(spark, sf_dir))
 
@@ -356,14 +373,14 @@ def report_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("report_recovered", f"""
-WITH {FINAL_SQL}
-SELECT doc_id, CASE WHEN doc_id % 10 = 9 THEN 'missing tips' END AS problem,
-  CASE WHEN doc_id % 10 <> 9 THEN 'insight-' || strftime(s, '%Y%m%d') || '-' || strftime(e, '%Y%m%d') END AS content_id,
-  CASE WHEN doc_id % 10 <> 9 THEN '보고 함께한 선생님' END AS hook_title,
-  CASE WHEN doc_id % 10 <> 9 THEN CASE WHEN doc_id % 2 = 0 THEN '함께한 선생님AB' ELSE '가온쌤' END END AS owner,
-  CASE WHEN doc_id % 10 <> 9 THEN '2030-02-03' END AS due, CASE WHEN doc_id % 10 <> 9 THEN n_faq + n_open END AS questions,
-  CASE WHEN doc_id % 10 <> 9 THEN len(lines)::BIGINT END AS tips, CASE WHEN doc_id % 10 <> 9 THEN true END AS sealed
-FROM fin""")
+WITH {FINAL_SQL}, judged AS (SELECT *, {_PROBLEM_SQL} AS problem FROM fin)
+SELECT doc_id, problem,
+  CASE WHEN problem IS NULL THEN 'insight-' || strftime(s, '%Y%m%d') || '-' || strftime(e, '%Y%m%d') END AS content_id,
+  CASE WHEN problem IS NULL THEN '보고 함께한 선생님' END AS hook_title,
+  CASE WHEN problem IS NULL THEN CASE WHEN doc_id % 2 = 0 THEN '함께한 선생님AB' ELSE '가온쌤' END END AS owner,
+  CASE WHEN problem IS NULL THEN '2030-02-03' END AS due, CASE WHEN problem IS NULL THEN n_faq + n_open END AS questions,
+  CASE WHEN problem IS NULL THEN len(lines)::BIGINT END AS tips, CASE WHEN problem IS NULL THEN true END AS sealed
+FROM judged""")
 def report_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.extract_report_html(report_pages(spark, sf_dir))
     docs = recovery.recover_publications(found, "2030-02-01T00:00:00Z")

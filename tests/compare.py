@@ -9,6 +9,8 @@ from pathlib import Path
 import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+#: Queries that SQL cannot express; tests compare them with a plain computation.
+BRUTE_FORCE = {"page_chunks", "stream_digest_stats"}
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -35,7 +37,7 @@ def compare(spark, con, name: str, sf_dir: str, fn, sql: str | None) -> str | No
     df = fn(spark, sf_dir)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if sql is None:
-        return None if df.columns else "no columns"
+        return None if name in BRUTE_FORCE or name.startswith("op") or name == "pipeline" else "no oracle"
     res = con.execute(sql)
     columns = [d[0] for d in res.description]
     if sorted(columns) != sorted(df.columns):
