@@ -28,10 +28,14 @@ def payload(final: str = "final") -> Column:
     return canonical.without_keys(F.col(final), "privacy_evidence")
 
 
-def build_evidence(passed: DataFrame, start: Column, end: Column, source: Column, mode: str) -> DataFrame:
+def build_evidence(
+    passed: DataFrame, start: Column, end: Column, source: Column, mode: str,
+    pii_passed: Column | None = None, names_passed: Column | None = None,
+) -> DataFrame:
     """Bind period and payload by digest: ``final`` gains its evidence block.
 
-    ``source`` is the canonical input the set was made from.
+    ``source`` is the canonical input the set was made from; the flags say what
+    its scans found, where they are not part of an earlier gate.
     """
     bounds = F.to_variant_object(F.create_map(
         F.lit("period_start"), F.date_format(start, "yyyy-MM-dd"),
@@ -49,8 +53,8 @@ def build_evidence(passed: DataFrame, start: Column, end: Column, source: Column
         F.lit(fixed.EVIDENCE_VERSION).cast("bigint").alias("evidence_version"),
         F.lit(fixed.EVIDENCE_STAGE).alias("stage"),
         F.lit(mode).alias("consent_mode"),
-        F.lit(True).alias("pii_scan_passed"),
-        F.lit(True).alias("nickname_policy_passed"),
+        (F.lit(True) if pii_passed is None else pii_passed).alias("pii_scan_passed"),
+        (F.lit(True) if names_passed is None else names_passed).alias("nickname_policy_passed"),
         F.sha2(source, 256).alias("source_sha256"),
         F.date_format(start, "yyyy-MM-dd").alias("period_start"),
         F.date_format(end, "yyyy-MM-dd").alias("period_end"),

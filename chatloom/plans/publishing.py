@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from chatloom import fixed
 from chatloom.functions import canonical
-from chatloom.operators import contract, publish, recovery, report
+from chatloom.operators import contract, cycle, publish, recovery, report
+from chatloom.operators.projection import build_evidence
 from chatloom.plans import derive
 from chatloom.plans.derive import CANONICAL_SQL, FINAL_SQL, MSG_SQL
 from chatloom.plans.documents import text_violations_sql
+from chatloom.plans.privacy import PERSON_SQL, RE2_PATHS, RE2_PII, kinds_sql
 from chatloom.plans.registry import query
 from chatloom.session import scratch_dir
 from chatloom.settings import DEFAULTS
@@ -155,6 +157,35 @@ def published_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.join(kept, "content_id", "left")
 
 
+@query("publish_cycle", f"""
+WITH {CANONICAL_SQL}, {text_violations_sql()},
+flags AS (SELECT doc_id, len({kinds_sql('text', RE2_PII | RE2_PATHS)}) > 0 AS pii, {PERSON_SQL.format('text')} AS named FROM fin),
+at_set AS (
+  SELECT doc_id, 'nickname_policy' AS rule FROM flags WHERE named UNION ALL SELECT doc_id, 'pii_scan' FROM flags WHERE pii
+  UNION ALL SELECT doc_id, 'payload_mismatch' FROM fin WHERE doc_id % 17 = 6),
+judged AS (
+  SELECT content_id, doc_id, CASE WHEN doc_id % 17 = 5 THEN 'not_strict_json' ELSE coalesce(
+    (SELECT min(rule) FROM at_set a WHERE a.doc_id = f.doc_id), (SELECT min(rule) FROM found v WHERE v.doc_id = f.doc_id)) END AS rule FROM fin f)
+SELECT doc_id, content_id, CASE WHEN rule IS NULL THEN 'created' ELSE 'refused' END AS status,
+  CASE WHEN rule IS NULL THEN 'unchanged' ELSE 'refused' END AS again, rule FROM judged""")
+def publish_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All gates in a row, twice: the second run finds everything as it is.
+
+    Scans of the source become evidence; some sets are no JSON or were changed after their evidence was made.
+    """
+    sets = derive.finals(spark, sf_dir)
+    safe, unnamed = cycle.scan_flags(F.col("text"))
+    sealed = build_evidence(sets, F.col("start"), F.col("end"), F.col("text"), "anon", safe, unnamed)
+    json = F.to_json("final")
+    tampered = F.when(F.col("doc_id") % 17 == 5, F.concat(json, F.lit("}"))) \
+        .when(F.col("doc_id") % 17 == 6, F.regexp_replace(json, '"period_id":"p', '"period_id":"q')).otherwise(json)
+    path = scratch_dir(spark, "approved")
+    sealed.select("doc_id", F.encode(tampered, "UTF-8").alias("content"), "start", "end", "issue", "generated_at", "content_id", "slug").write.parquet(path)
+    raw, target = spark.read.parquet(path), scratch_dir(spark, "published")
+    first, second = (cycle.publish_cycle(raw, target, "anon", max_bytes=16 << 20) for _ in range(2))
+    return first.join(second.select("doc_id", F.col("status").alias("again")), "doc_id")
+
+
 @query("publication_paths", f"""
 WITH {FINAL_SQL}
 SELECT doc_id, strftime(s, '%Y%m') AS month, 'publications/' || content_id || '/publication.json' AS path FROM fin

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -57,7 +58,7 @@ def main() -> None:
     sf = sys.argv[1]
     wanted = sys.argv[2:]
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = local_session(8)
+    spark = local_session(os.environ.get("COMPARE_CPUS", "8"))
     con = oracle_connection(sf_dir)
     oracles = entry.oracle_sql()
     bad = 0
