@@ -7,8 +7,8 @@ pools the states into one logit. All overlapping windows of the whole text are s
 logistic read-out of a text's highest, third and fifth highest windows and their number gives its score: one word
 that chance made is not yet a toxic text.
 
-Fitting takes a bounded sample of the labelled rows: ``SAMPLE`` of each class by hash of the text, at most
-``SAMPLE_BYTES`` together. Log odds are cross-fitted in two halves, so that the network learns how far to trust them.
+Fitting takes a bounded sample of the labelled rows: ``SAMPLE`` of each class by hash of the id, at most
+``SAMPLE_BYTES`` together; only their ids are sent to the texts, so no text is shuffled. Log odds are cross-fitted in two halves, so that the network learns how far to trust them.
 Labels are per text, so each step trains on the highest window of a text. The model is a few MB of fixed size.
 
 Cases: null and empty texts have no word and get the score of an empty window. Without both classes in training every
@@ -34,8 +34,8 @@ WINDOW, STRIDE = 32, 16
 HIDDEN, ATTENTION, FEATURES = 8, 8, 6
 BUCKET_BITS = 18
 GRAMS = (3, 4, 5)
-SAMPLE, SAMPLE_BYTES = 3_000, 32 << 20
-EPOCHS, BATCH, RATE = 8, 64, 0.01
+SAMPLE, SAMPLE_BYTES = 2_000, 24 << 20
+STEPS, BATCH, RATE = 600, 32, 0.01
 THRESHOLD = 0.7
 PLACES = (0, 2, 4)
 _GROUP, _CLIP = 8_192, 8.0
@@ -79,7 +79,9 @@ class Lexicon:
             gram_word.append(owner[here])
         grams, gram_word = np.concatenate(grams), np.concatenate(gram_word)
         order = np.argsort(gram_word, kind="stable")
-        return Lexicon(ids, words.first, _bucket(W.mix(distinct)), length, grams[order], gram_word[order])
+        bucket = _bucket(W.mix(distinct))
+        small = (x.astype(np.int32) for x in (ids, words.first, bucket, length, grams[order], gram_word[order]))
+        return Lexicon(*small)
 
 
 @dataclass
@@ -317,16 +319,17 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float] = (1.
     adam = Adam(net.p)
     rng = np.random.default_rng(5)
     weight = np.where(y == 1, len(y) / (2 * max(1, (y == 1).sum())), len(y) / (2 * max(1, (y == 0).sum()))).astype(np.float32)
-    for epoch in range(EPOCHS):
-        shuffled = rng.permutation(len(y))
-        for at in range(0, len(y), BATCH):
-            chosen = shuffled[at:at + BATCH]
-            ids, rows, inputs = _joined([prepared[i] for i in chosen])
-            logits = net.forward(ids, inputs)
-            top = np.array([lo + int(logits[lo:hi].argmax()) for lo, hi in rows])
-            logit, saved = net.forward(ids[top], inputs, keep=True)
-            grad = (_sigmoid(logit) - y[chosen]) * weight[chosen] / len(chosen)
-            adam.step(net.backward(grad.astype(np.float32), saved), RATE * (0.5 if epoch >= EPOCHS // 2 else 1.0))
+    queue = np.zeros(0, np.int64)
+    for step in range(STEPS):
+        if len(queue) < BATCH:
+            queue = np.concatenate([queue, rng.permutation(len(y))])
+        chosen, queue = queue[:BATCH], queue[BATCH:]
+        ids, rows, inputs = _joined([prepared[i] for i in chosen])
+        logits = net.forward(ids, inputs)
+        top = np.array([lo + int(logits[lo:hi].argmax()) for lo, hi in rows])
+        logit, saved = net.forward(ids[top], inputs, keep=True)
+        grad = (_sigmoid(logit) - y[chosen]) * weight[chosen] / len(chosen)
+        adam.step(net.backward(grad.astype(np.float32), saved), RATE * (0.5 if step >= STEPS // 2 else 1.0))
     seen = [tops(net.forward(*x), np.zeros(len(x[0]), np.int64), 1)[0] for x in prepared]
     readout = logistic(np.stack(seen), y, np.sqrt(np.where(y == 1, shares[1], shares[0])))
     return Model(Odds.of(lexicons, y, groups), net, readout)
@@ -344,21 +347,39 @@ def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, lis
     return np.concatenate(ids), rows, np.concatenate([*inputs, np.zeros((1, FEATURES), np.float32)])
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model | None:
-    """Train on a bounded sample of (text, label 0 or 1)."""
-    rows = labelled.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label")).filter("label IN (0, 1)")
-    rows = rows.withColumn("key", F.xxhash64("text")).withColumn("size", F.octet_length("text"))
-    there = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    texts, labels = [], []
+def fit(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
+    sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES,
+) -> Model | None:
+    """Train on a bounded sample of ``docs`` with a label 0 or 1; the highest label of a document counts."""
+    spark = docs.sparkSession
+    known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).filter("id IS NOT NULL AND label IN (0, 1)")
+    known = known.groupBy("id").agg(F.max("label").alias("label")).join(docs.select(F.col(doc_id).alias("id")).distinct(), "id")
+    there = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chosen = [
+        (r["id"], value) for value in (0, 1)
+        for r in known.filter(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    ]
+    if {value for _, value in chosen} != {0, 1}:
+        return None
+    kind = docs.schema[doc_id].dataType.simpleString()
+    source = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+    def of(wanted: list[tuple]) -> DataFrame:  # 2 x sample ids at most
+        return source.join(F.broadcast(spark.createDataFrame(wanted, f"id {kind}, label int")), "id")
+
+    sizes = {r["id"]: r["size"] for r in of(chosen).groupBy("id").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
+    fitting = []
     for value in (0, 1):
-        own = rows.filter(F.col("label") == value)
-        sizes = [r["size"] for r in own.select("key", "size").orderBy("key").limit(sample).collect()]
-        fitting = int(np.searchsorted(np.cumsum(sizes), sample_bytes // 2, "right"))
-        for r in own.select("key", "text").orderBy("key").limit(min(len(sizes), max(fitting, 1))).toLocalIterator():
-            texts.append(r["text"])
-            labels.append(value)
-    shares = tuple(there.get(v, 0) / max(1, labels.count(v)) for v in (0, 1))
-    return train(texts, labels, shares)
+        left = sample_bytes // 2
+        for own in [x for x in chosen if x[1] == value]:
+            left -= sizes.get(own[0], 0)
+            if left >= 0 or not any(x[1] == value for x in fitting):
+                fitting.append(own)
+    rows = sorted((r["id"], r["label"], r["text"]) for r in of(fitting).toLocalIterator())
+    found = [r[1] for r in rows]
+    shares = tuple(there[v] / max(1, found.count(v)) for v in (0, 1))
+    return train([r[2] for r in rows], found, shares)
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -379,12 +400,6 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: f
     return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(work, f"{fields}score double, predicted int")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled documents that are not held out; the highest label of a document counts."""
-    known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.filter(~held_out()).select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
-
-
 def held_out():  # noqa: ANN201
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
 
@@ -395,5 +410,5 @@ ORACLE_SQL = None
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit(training_rows(docs, table(spark, sf_dir, "labels")))
+    model = fit(docs.filter(~held_out()), table(spark, sf_dir, "labels"))
     return score(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")

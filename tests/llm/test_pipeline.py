@@ -32,7 +32,7 @@ def test_columns(steps):
 
 
 def test_toxic_documents_go(spark, steps):
-    model = toxicity.fit(toxicity.training_rows(steps[0], table(spark, SF, "labels")))
+    model = toxicity.fit(steps[0].filter(~toxicity.held_out()), table(spark, SF, "labels"))
     rows = steps[0].select("doc_id", "text").toPandas()
     import pyarrow as pa
 
