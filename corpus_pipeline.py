@@ -16,7 +16,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, trained on the labelled ones of the corpus, does not reject."""
-    model = toxicity.fit(toxicity.training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    model = toxicity.fit(table(spark, sf_dir, "documents").filter(~toxicity.held_out()), table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
 
 
