@@ -60,8 +60,7 @@ def find_hits(
     """``(doc_id, n_words, hits)``: hits is an array of (at, gram_size, item_ids), word positions from 0."""
     grams = item_grams(items, n, item_id, item_text).groupBy("gram_size", "gram", "gram_hash").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     sizes = {r["gram_size"]: r["n"] for r in grams.groupBy("gram_size").agg(F.count("*").alias("n")).collect()}  # n rows at most
-    if sum(sizes.values()) <= max_broadcast:
-        grams = F.broadcast(grams)
+    small = sum(sizes.values()) <= max_broadcast
     hashed = docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("w")).withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
     # Position -1 stands for the document itself, so that documents without hits are kept by the same scan.
     at = hashed.select("doc_id", "w", "h", F.size("w").alias("n_words"), F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at"))
@@ -79,7 +78,13 @@ def find_hits(
             "doc_id", "w", "n_words", "at", F.col("x.gram_size").alias("size"), F.col("x.gram_hash").alias("hash"))
     else:
         return hashed.select("doc_id", F.size("w").alias("n_words"), F.expr("cast(array() as array<struct<at: int, gram_size: int, item_ids: array<bigint>>>)").alias("hits"))
-    same = (F.col("hash") == F.col("gram_hash")) & (F.col("size") == F.col("gram_size")) & (F.array_join(F.expr("slice(w, greatest(at, 0) + 1, size)"), " ") == F.col("gram"))
+    window = F.array_join(F.expr("slice(w, greatest(at, 0) + 1, size)"), " ")
+    if small:
+        grams = F.broadcast(grams)
+    else:  # rows are shuffled: they carry their own window, not all words of the document
+        probe = probe.select("doc_id", "n_words", "at", "size", "hash", window.alias("window"))
+        window = F.col("window")
+    same = (F.col("hash") == F.col("gram_hash")) & (F.col("size") == F.col("gram_size")) & (window == F.col("gram"))
     found = probe.join(grams, same, "left").filter((F.col("at") < 0) | F.col("gram").isNotNull())
     hit = F.when(F.col("gram").isNotNull(), F.struct("at", "gram_size", "item_ids"))
     return found.select("doc_id", "n_words", hit.alias("hit")).groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.collect_set("hit").alias("hits"))

@@ -124,6 +124,15 @@ def _later(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places, later
 
 
+_PAIR = np.dtype([("doc", np.int64), ("at", np.int32)])
+
+
+def _pairs(docs: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = np.empty(len(docs), _PAIR)
+    out["doc"], out["at"] = docs, at
+    return out
+
+
 def _by_doc(places: np.ndarray) -> tuple[list[int], list[bytes]]:
     """Starts of each document, packed."""
     places = places[np.lexsort((places["at"], places["doc"]))]
@@ -132,7 +141,7 @@ def _by_doc(places: np.ndarray) -> tuple[list[int], list[bytes]]:
 
 
 def later_starts(docs: DataFrame, size: int, bits: int, shards: int) -> DataFrame:
-    """``(key, starts)``: places of windows that also start earlier; several rows per document."""
+    """``(key, starts)``: places of windows that also start earlier, a row per document that has any."""
     sent = docs.sparkSession.sparkContext.broadcast(_collect_bits(sketch(docs, size, bits), bits))
     schema = "shard int, key long, packed binary"
 
@@ -167,14 +176,24 @@ def later_starts(docs: DataFrame, size: int, bits: int, shards: int) -> DataFram
         own = part["key"].isna().to_numpy()
         found = np.frombuffer(b"".join(part["packed"][own]), _PLACE)
         places, later = _later(found)
-        keys, starts = _by_doc(places[later])
         done = part[~own]
-        return pd.DataFrame({"key": pd.array([*keys, *done["known"]], "Int64"), "starts": [*starts, *done["packed"]]})
+        known = np.frombuffer(b"".join(done["packed"]), np.int32)
+        sizes = np.array([len(x) // 4 for x in done["packed"]], np.int64)
+        pairs = np.concatenate([_pairs(places["doc"][later], places["at"][later]), _pairs(np.repeat(done["known"].to_numpy(np.int64), sizes), known)])
+        bucket = (W.mix(pairs["doc"].astype(np.uint64)) >> np.uint64(33)).astype(np.int64) % shards
+        order = np.argsort(bucket, kind="stable")
+        used, begin = np.unique(bucket[order], return_index=True)
+        return pd.DataFrame({"bucket": used.astype(np.int32), "pairs": [p.tobytes() for p in np.split(pairs[order], begin[1:])] if len(used) else []})
+
+    def gather(part: pd.DataFrame) -> pd.DataFrame:
+        keys, starts = _by_doc(np.frombuffer(b"".join(part["pairs"]), _PAIR))
+        return pd.DataFrame({"key": keys, "starts": starts})
 
     placed = docs.select("key", "text").mapInArrow(place, schema)
     # A second copy of the key keeps its exact value where pandas turns a nullable column into floats.
     placed = placed.withColumn("known", F.coalesce("key", F.lit(0)))
-    return placed.groupBy("shard").applyInPandas(resolve, "key long, starts binary")
+    resolved = placed.groupBy("shard").applyInPandas(resolve, "bucket int, pairs binary")
+    return resolved.groupBy("bucket").applyInPandas(gather, "key long, starts binary")
 
 
 def plan_bits(docs: DataFrame) -> tuple[int, int]:
@@ -192,8 +211,8 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", te
     source = docs.drop(*results).withColumn("__key", F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)))
     narrow = source.select(F.col("__key").alias("key"), F.col(text).alias("text"))
     bits, shards = plan_bits(narrow)
-    starts = later_starts(narrow, size, bits, shards).groupBy("key").agg(F.collect_list("starts").alias("__starts"))
-    joined = source.join(starts.withColumnRenamed("key", "__key"), "__key", "left").drop("__key")
+    starts = later_starts(narrow, size, bits, shards).withColumnsRenamed({"key": "__key", "starts": "__starts"})
+    joined = source.join(starts, "__key", "left").drop("__key")
     kept = [c for c in docs.columns if c not in (*results, text)]
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*[f"`{c}`" for c in kept]).schema)
 
@@ -208,7 +227,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", te
                     gone = 0
                     if s:
                         edges = np.zeros(len(words) + 1, np.int64)
-                        begin = np.frombuffer(b"".join(s), np.int32)
+                        begin = np.frombuffer(s, np.int32)
                         np.add.at(edges, np.minimum(begin, len(words)), 1)
                         np.add.at(edges, np.minimum(begin + size, len(words)), -1)
                         keep = np.cumsum(edges[:-1]) <= 0
