@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chatloom.llm.graph import staged
 from chatloom.llm.registry import table
 
 SCOPE = 200
@@ -74,7 +75,11 @@ def _buckets(spans: DataFrame, reach: int) -> DataFrame:
 
 
 def link(found: DataFrame) -> DataFrame:
-    """The strong spans, and the weak parts whose complementary parts are in scope."""
+    """The strong spans, and the weak parts whose complementary parts are in scope.
+
+    The parts, small rows, are written once: every step below reads them, and texts must not be scanned for each.
+    """
+    found = staged(found, "parts")
     strong = found.filter(F.col("kind") < len(BASE))
     weak = found.filter(F.col("kind") >= len(BASE))
     inside = _buckets(strong, 0).select("doc_id", "bucket", F.col("start").alias("s"), F.col("end").alias("e"))
