@@ -8,7 +8,7 @@ logistic read-out of a text's highest, third and fifth highest windows and their
 that chance made is not yet a toxic text.
 
 Fitting takes a bounded sample of the labelled rows: ``SAMPLE`` of each class by hash of the id, at most
-``SAMPLE_BYTES`` together; only their ids are sent to the texts, so no text is shuffled. Log odds are cross-fitted in two halves, so that the network learns how far to trust them.
+``SAMPLE_BYTES`` together; only their ids are sent to the texts, so no other text is shuffled. One task trains on that sample. Log odds are cross-fitted in two halves, so that the network learns how far to trust them.
 Labels are per text, so each step trains on the highest window of a text. The model is a few MB of fixed size.
 
 Cases: null and empty texts have no word and get the score of an empty window. Without both classes in training every
@@ -18,6 +18,7 @@ score is 0. Repeated texts have equal scores. Empty tables give empty tables. Ot
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -376,10 +377,19 @@ def fit(
             left -= sizes.get(own[0], 0)
             if left >= 0 or not any(x[1] == value for x in fitting):
                 fitting.append(own)
-    rows = sorted((r["id"], r["label"], r["text"]) for r in of(fitting).toLocalIterator())
-    found = [r[1] for r in rows]
-    shares = tuple(there[v] / max(1, found.count(v)) for v in (0, 1))
-    return train([r[2] for r in rows], found, shares)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["id"], r["label"], r["text"]) for batch in batches for r in batch.to_pylist())
+        if not rows:
+            return
+        found = [r[1] for r in rows]
+        model = train([r[2] for r in rows], found, tuple(there[v] / max(1, found.count(v)) for v in (0, 1)))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # the bounded sample meets in one task, not on the driver
+    ship_package(spark)
+    fitted = of(fitting).select("id", "label", "text").repartition(1).mapInArrow(work, "model binary").first()
+    return pickle.loads(fitted["model"]) if fitted else None
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
