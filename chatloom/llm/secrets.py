@@ -10,8 +10,8 @@ Positions come from the lengths of the pieces between matches, in code points. S
 never leaves its scan task.
 
 Cases: null and empty texts have no spans. Equal spans of one kind cannot repeat; weak parts inside a strong span are
-not weak parts. Repeated documents are judged one by one (``doc_id`` identifies a document; rows that share an id
-share its spans). Empty tables give empty tables.
+not weak parts. A document is known by its id, which may be null, and the hash of its text: rows that share an id are
+judged by their own texts, equal rows have equal spans. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -59,13 +59,20 @@ def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
     return F.when(text.rlike(pattern), rows).otherwise(F.expr("cast(array() as array<struct<kind: int, i: int, gap: int, size: int, kept: boolean>>)"))
 
 
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def parts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, kind, start, end)`` of all strong spans and weak parts; kind is a position in KINDS."""
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    found = source.select("doc_id", F.explode(F.concat(*[_found(F.col("t"), *x) for x in BASE + WEAK])).alias("m")).select("doc_id", "m.*")
-    so_far = Window.partitionBy("doc_id", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    """``(doc_id, text_hash, kind, start, end)`` of all strong spans and weak parts; kind is a position in KINDS."""
+    source = docs.select(F.col(doc_id).alias("doc_id"), text_hash(text).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    found = source.select("doc_id", "text_hash", F.explode(F.concat(*[_found(F.col("t"), *x) for x in BASE + WEAK])).alias("m"))
+    # equal rows have equal matches: each counts once in the sum
+    row = ("doc_id", "text_hash", "kind")
+    found = found.select("doc_id", "text_hash", "m.*").repartition(*row).dropDuplicates([*row, "i"])
+    so_far = Window.partitionBy(*row).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("size")).over(so_far)
-    return found.withColumn("end", end).filter("kept").select("doc_id", "kind", (F.col("end") - F.col("size")).alias("start"), "end").distinct()
+    return found.withColumn("end", end).filter("kept").select(*row, (F.col("end") - F.col("size")).alias("start"), "end")
 
 
 def _buckets(spans: DataFrame, reach: int) -> DataFrame:
@@ -82,32 +89,36 @@ def link(found: DataFrame) -> DataFrame:
     found = staged(found, "parts")
     strong = found.filter(F.col("kind") < len(BASE))
     weak = found.filter(F.col("kind") >= len(BASE))
-    inside = _buckets(strong, 0).select("doc_id", "bucket", F.col("start").alias("s"), F.col("end").alias("e"))
-    w = _buckets(weak, 0)
-    overlaps = w.join(inside, (w.doc_id == inside.doc_id) & (w.bucket == inside.bucket) & (w.start < inside.e) & (inside.s < w.end), "left_semi")
-    weak = weak.join(overlaps.select("doc_id", "kind", "start").distinct(), ["doc_id", "kind", "start"], "left_anti")
-    near = _buckets(strong.unionByName(weak), 0).select("doc_id", "bucket", F.col("kind").alias("part"), F.col("start").alias("s"), F.col("end").alias("e"))
+    other = (F.col("doc_id").alias("id"), F.col("text_hash").alias("h"), F.col("kind").alias("part"), F.col("start").alias("s"), F.col("end").alias("e"))
+    same_row = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("h"))
+    meets = same_row & (F.col("bucket") == F.col("b"))
+    inside = _buckets(strong, 0).select(*other, F.col("bucket").alias("b"))
+    overlaps = _buckets(weak, 0).join(inside, meets & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_semi")
+    covered = overlaps.select(*other).distinct()
+    weak = weak.join(covered, same_row & (F.col("kind") == F.col("part")) & (F.col("start") == F.col("s")), "left_anti")
+    near = _buckets(strong.unionByName(weak), 0).select(*other, F.col("bucket").alias("b"))
     out = strong
     for kind, groups in NEEDS.items():
         kept = weak.filter(F.col("kind") == KINDS.index(kind))
         for group in groups:
-            w, c = _buckets(kept, SCOPE), near.filter(F.col("part").isin(*[KINDS.index(k) for k in group]))
-            in_scope = (w.doc_id == c.doc_id) & (w.bucket == c.bucket) & (c.s < w.end + SCOPE) & (w.start < c.e + SCOPE)
-            kept = w.join(c, in_scope, "left_semi").drop("bucket").distinct()
+            c = near.filter(F.col("part").isin(*[KINDS.index(k) for k in group]))
+            in_scope = meets & (F.col("s") < F.col("end") + SCOPE) & (F.col("start") < F.col("e") + SCOPE)
+            kept = _buckets(kept, SCOPE).join(c, in_scope, "left_semi").drop("bucket").distinct()
         out = out.unionByName(kept)
     return out
 
 
 def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, kind, start, end)`` of everything to report; kind is one of KINDS."""
+    """``(doc_id, text_hash, kind, start, end)`` of everything to report; kind is one of KINDS."""
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
     return link(parts(docs, doc_id, text)).withColumn("kind", name)
 
 
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mask: str = "[secret]") -> DataFrame:
     """``docs`` with every reported span, overlapping ones together, replaced by ``mask``."""
-    spans = find_secrets(docs, doc_id, text).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
-    joined = docs.join(spans.withColumnRenamed("doc_id", doc_id), doc_id, "left")
+    found = find_secrets(docs, doc_id, text).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "start", "end")
+    spans = found.groupBy("__id", "__hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
+    joined = docs.join(spans, F.col(doc_id).eqNullSafe(F.col("__id")) & (text_hash(text) == F.col("__hash")), "left")
     # Ends so far in the order of starts: a span that starts beyond them begins a new cut.
     state = F.aggregate(
         "__spans", F.struct(F.lit(0).cast("bigint").alias("at"), F.expr("cast(array() as array<string>)").alias("out")),
@@ -124,9 +135,14 @@ QUERY = "op4_secrets"
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    spans = link(parts(docs)).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("s"))
-    listed = docs.select("doc_id").join(spans, "doc_id", "left").withColumn("s", F.coalesce("s", F.expr("cast(array() as array<struct<start: bigint, kind: int, end: bigint>>)")))
+    return listing(table(spark, sf_dir, "documents"))
+
+
+def listing(docs: DataFrame) -> DataFrame:
+    """A row for every row of ``docs``: counts of the strong kinds, their digest, and all spans."""
+    spans = link(parts(docs)).groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("h")).agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("s"))
+    rows = docs.select("doc_id", text_hash("text").alias("text_hash"))
+    listed = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("h")), "left").withColumn("s", F.coalesce("s", F.expr("cast(array() as array<struct<start: bigint, kind: int, end: bigint>>)")))
     name = lambda x: F.element_at(F.array(*map(F.lit, KINDS)), x["kind"] + 1)
     shown = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", name(x), x["start"], x["end"])), ",")
     base = F.filter("s", lambda x: x["kind"] < len(BASE))
