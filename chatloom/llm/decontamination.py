@@ -8,7 +8,8 @@ Broadcast bound: benchmarks are fixed test sets, and their n-grams are counted f
 the join is left to Spark, which then shuffles window hashes instead; the results are the same.
 
 Cases: null, empty or wordless documents have no words and are never contaminated; null, empty or wordless items have
-no n-gram. Repeated documents are judged one by one; repeated items all count. An empty item table leaves every
+no n-gram. A document is known by its id, which may be null, and the hash of its text: rows that share an id are
+judged by their own texts, equal rows are judged once and counted. Repeated items all count. An empty item table leaves every
 document clean. Columns of the documents stay; columns of the same name as a result are replaced by it.
 """
 
@@ -36,6 +37,14 @@ def words(text: Column) -> Column:
     return F.transform(found, plain)
 
 
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def _same_row(doc_id: str, text: str) -> Column:
+    return F.col(doc_id).eqNullSafe(F.col("__id")) & (text_hash(text) == F.col("__hash"))
+
+
 def _window_hash(hashes: Column, start: Column, size: int) -> Column:
     return F.xxhash64(*[hashes[start + k] for k in range(size)])
 
@@ -57,13 +66,15 @@ def find_hits(
     docs: DataFrame, items: DataFrame, n: int = WINDOW, doc_id: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text", max_broadcast: int = MAX_BROADCAST,
 ) -> DataFrame:
-    """``(doc_id, n_words, hits)``: hits is an array of (at, gram_size, item_ids), word positions from 0."""
+    """``(doc_id, text_hash, n_words, copies, hits)``, a row for all equal rows: how many there are (one at a time without
+    items), and hits as an array of (at, gram_size, item_ids), word positions from 0."""
     grams = item_grams(items, n, item_id, item_text).groupBy("gram_size", "gram", "gram_hash").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     sizes = {r["gram_size"]: r["n"] for r in grams.groupBy("gram_size").agg(F.count("*").alias("n")).collect()}  # n rows at most
     small = sum(sizes.values()) <= max_broadcast
-    hashed = docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("w")).withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
+    row = ("doc_id", "text_hash")
+    hashed = docs.select(F.col(doc_id).alias("doc_id"), text_hash(text).alias("text_hash"), words(F.col(text)).alias("w")).withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
     # Position -1 stands for the document itself, so that documents without hits are kept by the same scan.
-    at = hashed.select("doc_id", "w", "h", F.size("w").alias("n_words"), F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at"))
+    at = hashed.select(*row, "w", "h", F.size("w").alias("n_words"), F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at"))
     here = F.array(*[
         F.struct(
             F.lit(size).alias("gram_size"),
@@ -72,22 +83,24 @@ def find_hits(
         for size in sorted(sizes)
     ])
     if len(sizes) == 1:
-        probe = at.select("doc_id", "w", "n_words", "at", here[0]["gram_size"].alias("size"), here[0]["gram_hash"].alias("hash"))
+        probe = at.select(*row, "w", "n_words", "at", here[0]["gram_size"].alias("size"), here[0]["gram_hash"].alias("hash"))
     elif sizes:
-        probe = at.select("doc_id", "w", "n_words", "at", F.explode(here).alias("x")).select(
-            "doc_id", "w", "n_words", "at", F.col("x.gram_size").alias("size"), F.col("x.gram_hash").alias("hash"))
+        probe = at.select(*row, "w", "n_words", "at", F.explode(here).alias("x")).select(
+            *row, "w", "n_words", "at", F.col("x.gram_size").alias("size"), F.col("x.gram_hash").alias("hash"))
     else:
-        return hashed.select("doc_id", F.size("w").alias("n_words"), F.expr("cast(array() as array<struct<at: int, gram_size: int, item_ids: array<bigint>>>)").alias("hits"))
+        return hashed.select(*row, F.size("w").alias("n_words"), F.lit(1).cast("long").alias("copies"), F.expr("cast(array() as array<struct<at: int, gram_size: int, item_ids: array<bigint>>>)").alias("hits"))
     window = F.array_join(F.expr("slice(w, greatest(at, 0) + 1, size)"), " ")
     if small:
         grams = F.broadcast(grams)
     else:  # rows are shuffled: they carry their own window, not all words of the document
-        probe = probe.select("doc_id", "n_words", "at", "size", "hash", window.alias("window"))
+        probe = probe.select(*row, "n_words", "at", "size", "hash", window.alias("window"))
         window = F.col("window")
     same = (F.col("hash") == F.col("gram_hash")) & (F.col("size") == F.col("gram_size")) & (window == F.col("gram"))
     found = probe.join(grams, same, "left").filter((F.col("at") < 0) | F.col("gram").isNotNull())
     hit = F.when(F.col("gram").isNotNull(), F.struct("at", "gram_size", "item_ids"))
-    return found.select("doc_id", "n_words", hit.alias("hit")).groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.collect_set("hit").alias("hits"))
+    itself = (F.col("at") < 0) & (F.col("size") == min(sizes))
+    return found.select(*row, "n_words", itself.cast("long").alias("one"), hit.alias("hit")).groupBy(*row).agg(
+        F.max("n_words").alias("n_words"), F.sum("one").alias("copies"), F.collect_set("hit").alias("hits"))
 
 
 def hit_words(hits: Column) -> Column:
@@ -107,21 +120,22 @@ def _judged(docs: DataFrame, items: DataFrame, n: int, doc_id: str, text: str) -
 def drop_contaminated(docs: DataFrame, items: DataFrame, n: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the contaminated ones."""
     judged = _judged(docs.select(doc_id, text), items, n, doc_id, text)
-    bad = judged.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias(doc_id))
-    return docs.join(bad, doc_id, "left_anti").select(*docs.columns)
+    bad = judged.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    return docs.join(bad, _same_row(doc_id, text), "left_anti").select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, n: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every hit word cut out of its text; what stands between the words stays."""
     judged = _judged(docs.select(doc_id, text), items, n, doc_id, text).filter("n_hit > 0")
     marks = F.map_from_arrays("at", F.transform("at", lambda _: F.lit(True)))
-    dirty = judged.select("doc_id", hit_words(F.col("hits")).alias("at")).select(F.col("doc_id").alias(doc_id), marks.alias("__hit"))
+    dirty = judged.select("doc_id", "text_hash", hit_words(F.col("hits")).alias("at"))
+    dirty = dirty.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), marks.alias("__hit"))
     source = F.coalesce(F.col(text), F.lit(""))
     gaps, found = F.split(source, _WORD, -1), F.regexp_extract_all(source, F.lit(_WORD), F.lit(0))
     # A word is kept or cut by its position; the gap before it stays.
     kept = F.transform(found, lambda w, i: F.when(F.coalesce(F.try_element_at("__hit", i), F.lit(False)), "").otherwise(w))
     cut = F.array_join(F.zip_with(gaps, kept, lambda g, w: F.concat(g, F.coalesce(w, F.lit("")))), "")
-    joined = docs.join(dirty, doc_id, "left")
+    joined = docs.join(dirty, _same_row(doc_id, text), "left")
     return joined.select(*[F.when(F.col("__hit").isNull(), F.col(text)).otherwise(cut).alias(c) if c == text else F.col(c) for c in docs.columns])
 
 
@@ -129,10 +143,15 @@ QUERY = "op3_decontamination"
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _judged(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), WINDOW, "doc_id", "text")
+    return verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def verdicts(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """A row for every row of ``docs``: words, words in hits, items met and their digest, the verdict."""
+    found = _judged(docs.select("doc_id", "text"), items, WINDOW, "doc_id", "text")
     ids = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.transform(h["item_ids"], lambda i: i.cast("string")))))
-    out = found.select("doc_id", F.col("n_words").cast("long"), F.col("n_hit").cast("long"), F.array_sort(ids).alias("ids"))
-    return out.select(
+    out = found.select("doc_id", F.col("n_words").cast("long"), F.col("n_hit").cast("long"), F.array_sort(ids).alias("ids"), "copies")
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
         "doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"),
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),

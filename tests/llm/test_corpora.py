@@ -88,6 +88,21 @@ def test_decontamination_of_odd_rows(spark, odd, none):
     assert decontamination.drop_contaminated(none, items).count() == 0
 
 
+def test_decontamination_of_rows_that_share_an_id_or_have_none(spark):
+    gram, clean = " ".join(f"g{i}" for i in range(13)), " ".join(f"c{i}" for i in range(30))
+    rows = [(None, gram), (None, clean), (1, gram), (1, clean), (1, gram), (2, f"a {gram}"), (2, f"a b {gram}"), (3, clean), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, gram), (2, "g0")], "item_id long, text string")
+    bad = [gram in (t or "") for _, t in rows]
+    n_words = [len((t or "").split()) for _, t in rows]
+    got = sorted((repr(r.doc_id), r.n_words, r.n_hit, r.n_items, r.contaminated) for r in decontamination.verdicts(docs, items).collect())
+    assert got == sorted((repr(i), n, 13 * b, 2 * b, b) for (i, _), n, b in zip(rows, n_words, bad, strict=True))
+    left = decontamination.drop_contaminated(docs, items).collect()
+    assert sorted(map(repr, map(tuple, left))) == sorted(repr(r) for r, b in zip(rows, bad, strict=True) if not b)
+    cut = sorted((repr(r.doc_id), " ".join((r.text or "").split())) for r in decontamination.remove_spans(docs, items).collect())
+    assert cut == sorted((repr(i), (t or "").replace(gram, "").strip()) for i, t in rows)
+
+
 def test_neighbours_against_brute_force(spark, small):
     rows = [(r.vec_id, r.embedding) for r in small["embeddings"].collect()]
     rows += [(1000, rows[0][1]), (1001, rows[0][1]), (1002, None), (1003, [0.0] * 64), (1004, [float("nan")] * 64), (1005, [1.0]), (1100, [None] * 64)]
