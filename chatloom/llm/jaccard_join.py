@@ -17,8 +17,9 @@ tree, so no family is gathered in one task. Trees report a spanning forest of th
 are found by Spark.
 
 Cases: null, empty and wordless texts have no shingle and link with nothing; texts below ``size`` words have their
-whole sequence as the one shingle. A null id takes part as the smallest id and is shown as null. Rows that share an id
-are one node each by their sets. An empty table gives an empty one. Extra columns do not matter.
+whole sequence as the one shingle. A component is named by its smallest id; a null id takes part and names nothing, so
+a component without ids has the name null. Rows that share an id are nodes by their sets. An empty table gives an
+empty one. Extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.llm import words as W
@@ -49,7 +50,6 @@ BLOCK_BITS = 18
 TILE = 2_048
 LEAF = 16
 FANOUT = 16
-_NO_ID = -(2**63)
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -97,7 +97,7 @@ def token_levels(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, size: int, levels: np.ndarray) -> DataFrame:
-    """``(key, n, node, firsts)`` of each document: set size, hash of the set, the first tokens in the common order."""
+    """``(key, text_hash, n, node, firsts)`` of each document: set size, hash of the set, the first tokens in the common order."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +105,7 @@ def describe(docs: DataFrame, size: int, levels: np.ndarray) -> DataFrame:
         shift = np.uint64(65 - len(level).bit_length())
         for batch in batches:
             sizes, nodes, firsts = [], [], []
-            for tokens in shingle_sets(batch.column(1), size):
+            for tokens in shingle_sets(batch.column(2), size):
                 n = len(tokens)
                 sizes.append(n)
                 if not n:
@@ -117,9 +117,10 @@ def describe(docs: DataFrame, size: int, levels: np.ndarray) -> DataFrame:
                 first = n - -(-LEAST * n // SCALE) + 1
                 firsts.append((np.partition(order, first - 1)[:first] if first < n else order).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(firsts, pa.binary())], names=["key", "n", "node", "firsts"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(firsts, pa.binary())],
+                names=["key", "text_hash", "n", "node", "firsts"])
 
-    return docs.select("key", "text").mapInArrow(work, "key long, n long, node long, firsts binary")
+    return docs.select("key", "text_hash", "text").mapInArrow(work, "key long, text_hash long, n long, node long, firsts binary")
 
 
 _POST = np.dtype([("token", np.uint64), ("n", np.int32), ("node", np.int64)])
@@ -261,11 +262,11 @@ def links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def verified(members: DataFrame, size: int) -> DataFrame:
-    """``(a, b)``: links within families; ``members`` has (task, family, doc, text)."""
+    """``(a, b)``: links within families; ``members`` has (task, family, node, text)."""
 
     def work(part: pd.DataFrame) -> pd.DataFrame:
         sets = list(shingle_sets(pa.array(part["text"], pa.string()), size))
-        docs, out = part["doc"].to_numpy(), []
+        docs, out = part["node"].to_numpy(), []
         for rows in part.groupby("family", sort=False).indices.values():
             out += [(docs[rows[i]], docs[rows[j]]) for i, j in links([sets[r] for r in rows])]
         return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
@@ -273,31 +274,65 @@ def verified(members: DataFrame, size: int) -> DataFrame:
     return members.groupBy("task").applyInPandas(work, "a long, b long")
 
 
-def join(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``."""
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def _row(key: str) -> tuple[Column, Column]:
+    """A nullable id as columns without nulls."""
+    return F.coalesce(F.col(key), F.lit(0)).alias("id"), F.col(key).isNull().alias("none")
+
+
+def linked(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, text_hash, n_shingles, component, component_id)``: component is null for texts without a shingle."""
     ship_package(docs.sparkSession)
-    source = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("key"), F.col(text).alias("text"))
+    source = docs.select(F.col(doc_id).cast("long").alias("key"), text_hash(text).alias("text_hash"), F.col(text).alias("text"))
     described = staged(describe(source, size, token_levels(source, size)), "sets")
     tokens = described.agg(F.sum("n")).first()[0] or 0
     shards = max(16, math.ceil(tokens / 4 / (1 << 19)))
-    nodes = described.filter("n > 0").groupBy("node").agg(F.min("key").alias("doc"))
+    # the row that stands for a set
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_hash"))
+    nodes = described.filter("n > 0").groupBy("node").agg(first.alias("row")).select("node", F.col("row.key").alias("doc"), F.col("row.text_hash").alias("hash"))
     family = components(chains(described, shards)).withColumnsRenamed({"root": "family"})
-    member = staged(family.join(nodes, "node").select("family", "doc"), "members")
+    member = staged(family.join(nodes, "node").select("family", "node", "doc", "hash"), "members")
     sizes = member.groupBy("family").agg(F.count("*").alias("m"))
     parts = F.ceil(F.col("m") / TILE).cast("int")
     tasks = max(1, math.ceil(member.count() / TILE))
-    placed = member.join(sizes, "family").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    placed = member.join(sizes, "family").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     other = F.when(F.col("parts") > 1, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0)))
-    placed = placed.withColumn("other", F.explode(other))
     task = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("family"), F.lit(tasks))).otherwise(
         F.xxhash64("family", F.least("part", "other"), F.greatest("part", "other")))
-    wanted = placed.select(task.alias("task"), "family", "doc")
-    # members grow with the corpus: they are shuffled at every size
-    texts = source.join(wanted.hint("merge"), source.key == wanted.doc).select("task", "family", "doc", "text")
-    root = components(verified(texts, size)).withColumnsRenamed({"node": "doc"})
-    out = described.select("key", "n", "node").join(nodes, "node", "left").join(root, "doc", "left")
-    show = lambda c: F.when(c != _NO_ID, c)
-    return out.select(show(F.col("key")).alias("doc_id"), F.col("n").alias("n_shingles"), show(F.coalesce("root", "doc", "key")).alias("component_id"))
+    # members grow with the corpus: they are shuffled at every size; of equal rows one text is sent on
+    row = ["id", "none", "text_hash"]
+    placed = placed.select(*_row("doc"), F.col("hash").alias("text_hash"), "family", "node", "parts", "part")
+    wanted = source.select(*_row("key"), "text_hash", "text").join(placed.hint("merge"), row).dropDuplicates(row)
+    texts = wanted.withColumn("other", F.explode(other)).select(task.alias("task"), "family", "node", "text")
+    root = components(verified(texts, size))
+    named = staged(nodes.join(root, "node", "left").select("node", "doc", F.coalesce("root", "node").alias("component")), "named")
+    names = named.groupBy("component").agg(F.min("doc").alias("component_id"))
+    named = named.join(names, "component").select("node", "component", "component_id")
+    out = described.select("key", "text_hash", "n", "node").join(named, "node", "left")
+    return out.select(
+        F.col("key").alias("doc_id"), "text_hash", F.col("n").alias("n_shingles"), "component",
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
+
+
+def join(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, n_shingles, component_id)``, a row for every row of ``docs``."""
+    return linked(docs, size, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def drop_copies(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, of the smallest id, null last, and then text hash; texts without a shingle stay."""
+    rows = linked(docs, size, doc_id, text).filter("component IS NOT NULL").groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("row"))
+    stays = F.col("doc_id").eqNullSafe(F.col("row.doc_id")) & (F.col("text_hash") == F.col("row.text_hash"))
+    marked = rows.join(best, "component").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), stays.alias("__once"), "copies")
+    marked = staged(marked.filter("NOT __once OR copies > 1").drop("copies"), "copies")
+    same_row = F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (text_hash(text) == F.col("__hash"))
+    alone = docs.join(marked, same_row, "left_anti").select(*docs.columns)
+    once = docs.join(marked.filter("__once"), same_row).dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    return alone.unionByName(once)
 
 
 QUERY = "op7_jaccard_join"

@@ -181,6 +181,18 @@ def test_join_of_odd_rows(odd, none):
     assert jaccard_join.join(none).count() == 0
 
 
+def test_copies_that_share_an_id_or_have_none(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(None, a), (2, a + " end"), (3, a), (2, a + " end"), (None, b), (7, b), (7, c), (None, b), (None, d), (None, d), (None, d + " end"), (None, None), (None, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(repr, ((r.doc_id, r.component_id) for r in jaccard_join.join(docs).collect())))
+    assert got == sorted(map(repr, zip([i for i, _ in rows], [2, 2, 2, 2, 7, 7, 7, 7, None, None, None, None, None, 9], strict=True)))
+    left = [tuple(r) for r in jaccard_join.drop_copies(docs).collect()]
+    only_d = [r for r in left if r[0] is None and r[1]]
+    assert len(only_d) == 1 and only_d[0][1] in (d, d + " end")
+    assert sorted(map(repr, set(left) - set(only_d))) == sorted(map(repr, [(2, a + " end"), (7, b), (7, c), (None, None), (9, "")])) and len(left) == 7
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60) if i % 20 != 19] + [(100, 100 + i) for i in range(1, 50)] + [(rng.randrange(200, 230), rng.randrange(200, 230)) for _ in range(12)] + [(7, 7)]
