@@ -15,8 +15,8 @@ Broadcast bound: a row has at most 2^``MAX_BITS`` cells, 64 MB of bits. Up to th
 beyond it more windows are estimated repeated and the second pass groups more of them, with the same result.
 
 Cases: null and empty texts and texts below ``size`` words have no windows and are kept, as single-blank words. Equal
-documents: all but the one with the smallest id lose their windows. Ids are meant to be unique: rows that share one
-share its removed places, a null id sorts first. An empty table gives an empty one. Columns of the input stay; ones
+documents: all but the one with the smallest id lose their windows. Rows sort by id, a null id first, and then by the
+hash of their texts; of rows equal in both, all but one lose their windows. An empty table gives an empty one. Columns of the input stay; ones
 that clash with a result are replaced.
 """
 
@@ -27,10 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm import words as W
+from chatloom.llm.graph import staged
 from chatloom.llm.registry import table
 from chatloom.session import ship_package
 
@@ -112,54 +113,58 @@ def _collect_bits(merged: DataFrame, bits: int) -> list[np.ndarray]:
     return out
 
 
-_PLACE = np.dtype([("hash", np.uint64), ("doc", np.int64), ("at", np.int32)])
+_PLACE = np.dtype([("hash", np.uint64), ("doc", np.int64), ("text", np.int64), ("at", np.int32)])
 
 
 def _later(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in order, and which of them are not the earliest of their hash."""
-    places = places[np.lexsort((places["at"], places["doc"], places["hash"]))]
+    places = places[np.lexsort((places["at"], places["text"], places["doc"], places["hash"]))]
     later = np.zeros(len(places), bool)
-    later[1:] = (places["hash"][1:] == places["hash"][:-1]) & ((places["doc"][1:] != places["doc"][:-1]) | (places["at"][1:] != places["at"][:-1]))
+    moved = np.logical_or.reduce([places[f][1:] != places[f][:-1] for f in ("doc", "text", "at")])
+    later[1:] = (places["hash"][1:] == places["hash"][:-1]) & moved
     later[1:] |= later[:-1] & (places["hash"][1:] == places["hash"][:-1])
     return places, later
 
 
-_PAIR = np.dtype([("doc", np.int64), ("at", np.int32)])
+_PAIR = np.dtype([("doc", np.int64), ("text", np.int64), ("at", np.int32)])
 
 
-def _pairs(docs: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _pairs(docs: np.ndarray, texts: np.ndarray, at: np.ndarray) -> np.ndarray:
     out = np.empty(len(docs), _PAIR)
-    out["doc"], out["at"] = docs, at
+    out["doc"], out["text"], out["at"] = docs, texts, at
     return out
 
 
-def _by_doc(places: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Starts of each document, packed."""
-    places = places[np.lexsort((places["at"], places["doc"]))]
-    docs, first = np.unique(places["doc"], return_index=True)
-    return docs.tolist(), [part.astype(np.int32).tobytes() for part in np.split(places["at"], first[1:])] if len(docs) else []
+def _by_doc(places: np.ndarray) -> tuple[list[int], list[int], list[bytes]]:
+    """Id, text hash and packed starts of each document."""
+    places = places[np.lexsort((places["at"], places["text"], places["doc"]))]
+    new = np.ones(len(places), bool)
+    new[1:] = (places["doc"][1:] != places["doc"][:-1]) | (places["text"][1:] != places["text"][:-1])
+    first = np.flatnonzero(new)
+    starts = [part.astype(np.int32).tobytes() for part in np.split(places["at"], first[1:])] if len(first) else []
+    return places["doc"][first].tolist(), places["text"][first].tolist(), starts
 
 
 def later_starts(docs: DataFrame, size: int, bits: int, shards: int) -> DataFrame:
-    """``(key, starts)``: places of windows that also start earlier, a row per document that has any."""
+    """``(key, hash, starts)``: places of windows that also start earlier, a row per document that has any."""
     sent = docs.sparkSession.sparkContext.broadcast(_collect_bits(sketch(docs, size, bits), bits))
-    schema = "shard int, key long, packed binary"
+    schema = "shard int, key long, hash long, packed binary"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = sent.value
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            keys, texts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             parts = [np.zeros(0, _PLACE)]
-            for hashes, at, row in _batch_windows(batch.column(1), size):
+            for hashes, at, row in _batch_windows(batch.column(2), size):
                 maybe = np.arange(len(hashes))
                 for line, row_bits in enumerate(lines):
                     cells = _cells(hashes[maybe], line, bits)
                     maybe = maybe[(row_bits[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1]
                 part = np.empty(len(maybe), _PLACE)
-                part["hash"], part["doc"], part["at"] = hashes[maybe], keys[row[maybe]], at[maybe]
+                part["hash"], part["doc"], part["text"], part["at"] = hashes[maybe], keys[row[maybe]], texts[row[maybe]], at[maybe]
                 parts.append(part)
             places, later = _later(np.concatenate(parts))
-            known, starts = _by_doc(places[later])
+            known, known_texts, starts = _by_doc(places[later])
             first = places[~later]
             first = first[np.r_[True, first["hash"][1:] != first["hash"][:-1]][:len(first)]]
             shard = ((first["hash"] * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)).astype(np.int64) % shards
@@ -169,8 +174,9 @@ def later_starts(docs: DataFrame, size: int, bits: int, shards: int) -> DataFram
             yield pa.RecordBatch.from_arrays([
                 pa.array([*used.tolist(), *(k % shards for k in known)], pa.int32()),
                 pa.array([*[None] * len(used), *known], pa.int64()),
+                pa.array([*[0] * len(used), *known_texts], pa.int64()),
                 pa.array([*packed, *starts], pa.binary()),
-            ], names=["shard", "key", "packed"])
+            ], names=["shard", "key", "hash", "packed"])
 
     def resolve(part: pd.DataFrame) -> pd.DataFrame:
         own = part["key"].isna().to_numpy()
@@ -179,21 +185,22 @@ def later_starts(docs: DataFrame, size: int, bits: int, shards: int) -> DataFram
         done = part[~own]
         known = np.frombuffer(b"".join(done["packed"]), np.int32)
         sizes = np.array([len(x) // 4 for x in done["packed"]], np.int64)
-        pairs = np.concatenate([_pairs(places["doc"][later], places["at"][later]), _pairs(np.repeat(done["known"].to_numpy(np.int64), sizes), known)])
-        bucket = (W.mix(pairs["doc"].astype(np.uint64)) >> np.uint64(33)).astype(np.int64) % shards
+        repeat = [np.repeat(done[c].to_numpy(np.int64), sizes) for c in ("known", "hash")]
+        pairs = np.concatenate([_pairs(*(places[f][later] for f in ("doc", "text", "at"))), _pairs(*repeat, known)])
+        bucket = (W.mix(pairs["doc"].astype(np.uint64) ^ pairs["text"].astype(np.uint64)) >> np.uint64(33)).astype(np.int64) % shards
         order = np.argsort(bucket, kind="stable")
         used, begin = np.unique(bucket[order], return_index=True)
         return pd.DataFrame({"bucket": used.astype(np.int32), "pairs": [p.tobytes() for p in np.split(pairs[order], begin[1:])] if len(used) else []})
 
     def gather(part: pd.DataFrame) -> pd.DataFrame:
-        keys, starts = _by_doc(np.frombuffer(b"".join(part["pairs"]), _PAIR))
-        return pd.DataFrame({"key": keys, "starts": starts})
+        keys, texts, starts = _by_doc(np.frombuffer(b"".join(part["pairs"]), _PAIR))
+        return pd.DataFrame({"key": keys, "hash": texts, "starts": starts})
 
-    placed = docs.select("key", "text").mapInArrow(place, schema)
+    placed = docs.select("key", "hash", "text").mapInArrow(place, schema)
     # A second copy of the key keeps its exact value where pandas turns a nullable column into floats.
     placed = placed.withColumn("known", F.coalesce("key", F.lit(0)))
     resolved = placed.groupBy("shard").applyInPandas(resolve, "bucket int, pairs binary")
-    return resolved.groupBy("bucket").applyInPandas(gather, "key long, starts binary")
+    return resolved.groupBy("bucket").applyInPandas(gather, "key long, hash long, starts binary")
 
 
 def plan_bits(docs: DataFrame) -> tuple[int, int]:
@@ -207,12 +214,19 @@ def plan_bits(docs: DataFrame) -> tuple[int, int]:
 def remove_repeats(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept``, the words left over joined by single blanks."""
     ship_package(docs.sparkSession)
-    results = ("n_words", "n_removed", "kept", "__starts", "__key")
-    source = docs.drop(*results).withColumn("__key", F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)))
-    narrow = source.select(F.col("__key").alias("key"), F.col(text).alias("text"))
+    results = ("n_words", "n_removed", "kept", "__starts", "__key", "__hash", "__again")
+    row = ["__key", "__hash"]
+    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(doc_id).isNull())
+    source = docs.drop(*results).withColumn("__key", F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))).withColumn("__hash", hashed)
+    narrow = source.select(F.col("__key").alias("key"), F.col("__hash").alias("hash"), F.col(text).alias("text"))
     bits, shards = plan_bits(narrow)
-    starts = later_starts(narrow, size, bits, shards).withColumnsRenamed({"key": "__key", "starts": "__starts"})
-    joined = source.join(starts, "__key", "left").drop("__key")
+    starts = later_starts(narrow, size, bits, shards).withColumnsRenamed({"key": "__key", "hash": "__hash", "starts": "__starts"})
+    # rows equal in id and text: one is judged like any other, the rest repeat it
+    several = staged(source.groupBy(*row).agg(F.count("*").alias("n")).filter("n > 1").select(*row), "several")
+    copy = F.row_number().over(Window.partitionBy(*row).orderBy(F.lit(0)))
+    again = source.join(several, row, "left_semi").withColumn("__again", copy > 1)
+    source = source.join(several, row, "left_anti").withColumn("__again", F.lit(False)).unionByName(again)
+    joined = source.join(starts, row, "left")
     kept = [c for c in docs.columns if c not in (*results, text)]
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*[f"`{c}`" for c in kept]).schema)
 
@@ -220,10 +234,13 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", te
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts, starts = part.column(part.num_columns - 2).cast(pa.binary()).to_pylist(), part.column(part.num_columns - 1).to_pylist()
+                texts = part.column(part.num_columns - 3).cast(pa.binary()).to_pylist()
+                starts, copies = (part.column(part.num_columns - k).to_pylist() for k in (2, 1))
                 n_words, n_removed, left = [], [], []
-                for t, s in zip(texts, starts, strict=True):
+                for t, s, copy in zip(texts, starts, copies, strict=True):
                     words = (t or b"").split()
+                    if copy:
+                        s = np.arange(max(0, len(words) - size + 1), dtype=np.int32).tobytes()
                     gone = 0
                     if s:
                         edges = np.zeros(len(words) + 1, np.int64)
@@ -239,10 +256,10 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", te
                     n_removed.append(gone)
                     left.append(b" ".join(words).decode())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-2], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(left, pa.string())],
+                    [*part.columns[:-3], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(left, pa.string())],
                     names=[*kept, "n_words", "n_removed", "kept"])
 
-    ordered = joined.select(*[f"`{c}`" for c in kept], F.col(f"`{text}`").alias("__text"), "__starts")
+    ordered = joined.select(*[f"`{c}`" for c in kept], F.col(f"`{text}`").alias("__text"), "__starts", "__again")
     return ordered.mapInArrow(cut, f"{fields}n_words long, n_removed long, kept string")
 
 

@@ -237,6 +237,14 @@ def test_repeats_of_odd_rows(odd, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_repeats_of_rows_that_share_an_id_or_have_none(spark):
+    noisy, clean, other = "a b " * 30, " ".join(f"c{k}" for k in range(60)), " ".join(f"d{k}" for k in range(25))
+    rows = [(None, noisy), (None, clean), (1, clean), (2, other), (2, other), (2, "short"), (2, "short"), (None, None)]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 20).collect()
+    assert sorted((repr(r.doc_id), r.n_words, r.n_removed) for r in got) == sorted(
+        [("None", 60, 58), ("None", 60, 0), ("1", 60, 60), ("2", 25, 0), ("2", 25, 25), ("2", 1, 0), ("2", 1, 0), ("None", 0, 0)])
+
+
 def test_cells_survive_packing():
     rng = np.random.default_rng(1)
     for n, width in ((0, 10), (1, 10), (50, 1 << 18), (4_000, 1 << 14), (9, 1 << 18)):
