@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 MODULES = (
     "sentencepiece", "lm_scoring", "decontamination", "secrets", "ann",
     "language_id", "jaccard_join", "substring_dedup", "toxicity", "chat_format",
-    "word_bpe", "source_audit",
+    "word_bpe", "structure_repair", "source_audit",
 )
 
 
