@@ -47,6 +47,8 @@ GROUPS, MOST_GROUPS = 128, 2_048
 #: The sketch of token counts that orders the tokens has a cell for about eight tokens, 2^24 (bytes, broadcast) at most.
 SKETCH_BITS = 24
 BLOCK_BITS = 18
+#: Tokens whose cells a task sorts and packs together, or those of one slice of text.
+TOGETHER = 1 << 20
 TILE = 2_048
 LEAF = 16
 FANOUT = 16
@@ -76,11 +78,16 @@ def token_levels(docs: DataFrame, size: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [W.windows(words.hashes(), words.first, size)[0] for _, words in W.split(batch.column(0), lower=True)]
-            cells = np.sort((np.concatenate([np.zeros(0, np.uint64), *found]) >> np.uint64(64 - bits)).astype(np.int64))
-            blocks, first = np.unique(cells >> block_bits, return_index=True)
-            packed = [pack(part & ((1 << block_bits) - 1)) for part in np.split(cells, first[1:])] if len(cells) else []
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names=["block", "cells"])
+            found, held = [], 0
+            for at, words in W.split(batch.column(0), lower=True):
+                found.append((W.windows(words.hashes(), words.first, size)[0] >> np.uint64(64 - bits)).astype(np.uint32))
+                held += len(found[-1])
+                if held >= TOGETHER or at + len(words.first) - 1 == batch.num_rows:
+                    cells = np.sort(np.concatenate(found)).astype(np.int64)
+                    found, held = [], 0
+                    blocks, first = np.unique(cells >> block_bits, return_index=True)
+                    packed = [pack(part & ((1 << block_bits) - 1)) for part in np.split(cells, first[1:])] if len(cells) else []
+                    yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names=["block", "cells"])
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(1 << block_bits, np.int64)

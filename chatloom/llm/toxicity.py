@@ -39,7 +39,7 @@ SAMPLE, SAMPLE_BYTES = 2_000, 24 << 20
 STEPS, BATCH, RATE = 600, 32, 0.01
 THRESHOLD = 0.7
 PLACES = (0, 2, 4)
-_GROUP, _CLIP = 8_192, 8.0
+_GROUP, _CLIP = 1_024, 8.0
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -348,6 +348,18 @@ def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, lis
     return np.concatenate(ids), rows, np.concatenate([*inputs, np.zeros((1, FEATURES), np.float32)])
 
 
+def fitting_ids(chosen: list[tuple], sizes: dict, sample_bytes: int) -> list[tuple]:
+    """Of ``(id, label)``, those whose texts fit into half the bytes for their label; one that does not takes nothing from the others."""
+    out = []
+    for value in (0, 1):
+        left = sample_bytes // 2
+        for own in [x for x in chosen if x[1] == value]:
+            if (size := sizes.get(own[0], 0)) <= left:
+                left -= size
+                out.append(own)
+    return out
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
     sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES,
@@ -369,14 +381,11 @@ def fit(
     def of(wanted: list[tuple]) -> DataFrame:  # 2 x sample ids at most
         return source.join(F.broadcast(spark.createDataFrame(wanted, f"id {kind}, label int")), "id")
 
-    sizes = {r["id"]: r["size"] for r in of(chosen).groupBy("id").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
-    fitting = []
-    for value in (0, 1):
-        left = sample_bytes // 2
-        for own in [x for x in chosen if x[1] == value]:
-            left -= sizes.get(own[0], 0)
-            if left >= 0 or not any(x[1] == value for x in fitting):
-                fitting.append(own)
+    # of the rows of one id, the first by length and text stands for it
+    sizes = {r["id"]: r["size"] for r in of(chosen).groupBy("id").agg(F.min(F.octet_length("text")).alias("size")).collect()}
+    fitting = fitting_ids(chosen, sizes, sample_bytes)
+    if {value for _, value in fitting} != {0, 1}:
+        return None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r["id"], r["label"], r["text"]) for batch in batches for r in batch.to_pylist())
@@ -388,7 +397,9 @@ def fit(
 
     # the bounded sample meets in one task, not on the driver
     ship_package(spark)
-    fitted = of(fitting).select("id", "label", "text").repartition(1).mapInArrow(work, "model binary").first()
+    shortest = F.min(F.struct(F.octet_length("text").alias("size"), "text")).alias("row")
+    taken = of(fitting).groupBy("id", "label").agg(shortest).select("id", "label", F.col("row.text").alias("text"))
+    fitted = taken.repartition(1).mapInArrow(work, "model binary").first()
     return pickle.loads(fitted["model"]) if fitted else None
 
 

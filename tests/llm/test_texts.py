@@ -165,3 +165,18 @@ def test_chat_of_odd_rows(spark):
                 assert r.speaker == r.perspective and whole[int(r.mask_start) - 1] == "\n" and whole[:int(r.mask_end)].endswith("<|im_end|>\n")
     assert "<|im_end|>" not in got.rendered.iloc[0].replace("<|im_end|>\n", "")
     assert chat_format.rotate(turns.filter("false")).count() == 0
+
+
+def test_a_long_text_takes_no_place_from_others():
+    chosen = [("long", 1), *((i, i % 2) for i in range(60))]
+    sizes = {"long": 900, **{i: 10 for i in range(60)}}
+    assert toxicity.fitting_ids(chosen, sizes, 1_000) == [*((i, 0) for i in range(0, 60, 2)), *((i, 1) for i in range(1, 60, 2))]
+    assert toxicity.fitting_ids([(1, 0), (2, 1)], {1: 50, 2: 501}, 1_000) == [(1, 0)]
+
+
+def test_of_repeated_ids_one_text_trains(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(toxicity, "fitting_ids", lambda chosen, sizes, limit: sent.append(sizes) or chosen)
+    rows = [(1, "bad " * 9), (1, "bad"), (2, "good day"), (3, None)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int"))
+    assert sent == [{1: 3, 2: 8, 3: 0}] and model is not None
