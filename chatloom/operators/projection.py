@@ -158,6 +158,30 @@ FINAL_RULES: tuple[Rule, ...] = (
 )
 
 
+def check_request(finals: DataFrame) -> DataFrame:
+    """Preconditions of a projection: the period's order, the issue, and printed counts against the approved items.
+
+    ``finals`` has start, end and issue.
+    """
+    def size(path: str) -> Column:
+        return F.coalesce(F.size(_get("final", path).try_cast("array<variant>")), F.lit(0))
+
+    def off(stat: str, expected: Column) -> Column:
+        printed = _get("final", f"$.report.sections.stats['{stat}']")
+        return printed.isNotNull() & (F.to_json(printed) != expected.cast("string"))
+
+    n_faq, n_open = size("$.faq"), size("$.report.sections.unresolved")
+    rules = (
+        ("$.period_start", F.coalesce(F.col("start") > F.col("end"), F.lit(True)), "period_order"),
+        ("$.issue", F.coalesce(F.col("issue") < 1, F.lit(True)), "issue_minimum"),
+        (f"$.report.sections.stats.{fixed.STAT_QUESTIONS}", off(fixed.STAT_QUESTIONS, n_faq + n_open), "source_count"),
+        (f"$.report.sections.stats.{fixed.STAT_RESOLVED}", off(fixed.STAT_RESOLVED, n_faq), "source_count"),
+    )
+    found = F.array_compact(F.array(*[
+        F.when(cond, F.struct(F.lit(location).alias("location"), F.lit(rule).alias("rule"), F.lit("").alias("detail"))) for location, cond, rule in rules]))
+    return finals.select("doc_id", F.inline_outer(found)).filter(F.col("rule").isNotNull())
+
+
 def check_final(finals: DataFrame, mode: str, start: Column | None = None, end: Column | None = None) -> DataFrame:
     """Why a set cannot be projected; no row means it can."""
     nodes = walk_documents(finals.select("doc_id", F.col("final").alias("doc")))

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom import fixed
-from chatloom.functions import canonical
+from chatloom.functions import canonical, dates
 from chatloom.operators import contract, cycle, publish, recovery, report
-from chatloom.operators.projection import build_evidence
+from chatloom.operators.projection import build_evidence, project_publication
 from chatloom.plans import derive
 from chatloom.plans.derive import CANONICAL_SQL, FINAL_SQL, MSG_SQL
 from chatloom.plans.documents import text_violations_sql
@@ -141,8 +141,9 @@ def published_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Among the new documents are invalid ids and ids with two documents.
     """
-    target = scratch_dir(spark, "publications")
-    docs = _stored(spark, sf_dir)
+    target, staged = scratch_dir(spark, "publications"), scratch_dir(spark, "documents")
+    _stored(spark, sf_dir).write.parquet(staged)
+    docs = spark.read.parquet(staged)
     case = F.col("doc_id") % 5
     current = (F.col("doc_id") % 13 != 6) & (case == 0)
     older = docs.filter(case != 1).withColumn(
@@ -157,33 +158,70 @@ def published_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.join(kept, "content_id", "left")
 
 
-@query("publish_cycle", f"""
-WITH {CANONICAL_SQL}, {text_violations_sql()},
+_CYCLE_SQL = f"""
+{CANONICAL_SQL.replace("n + 1 AS issue", "n + CASE WHEN doc_id % 10 = 7 AND n > 0 THEN 0 ELSE 1 END AS issue")}, {text_violations_sql()},
 flags AS (SELECT doc_id, len({kinds_sql('text', RE2_PII | RE2_PATHS)}) > 0 AS pii, {PERSON_SQL.format('text')} AS named FROM fin),
 at_set AS (
   SELECT doc_id, 'nickname_policy' AS rule FROM flags WHERE named UNION ALL SELECT doc_id, 'pii_scan' FROM flags WHERE pii
-  UNION ALL SELECT doc_id, 'payload_mismatch' FROM fin WHERE doc_id % 17 = 6),
+  UNION ALL SELECT doc_id, 'payload_mismatch' FROM fin WHERE doc_id % 17 IN (6, 8)
+  UNION ALL SELECT doc_id, 'source_count' FROM fin WHERE doc_id % 17 = 8
+  UNION ALL SELECT doc_id, unnest(['period_order', 'requested_period']) FROM fin WHERE doc_id % 17 = 9
+  UNION ALL SELECT doc_id, 'issue_minimum' FROM fin WHERE doc_id % 17 = 10),
+parsed AS (SELECT * FROM fin WHERE doc_id % 17 NOT IN (5, 7)),
+at_gate AS (SELECT * FROM parsed WHERE doc_id NOT IN (SELECT doc_id FROM at_set)),
+seeds AS (SELECT * FROM fin WHERE doc_id % 13 IN (4, 5)),
+owners AS (
+  SELECT slug, content_id FROM at_gate UNION SELECT slug, content_id FROM seeds),
+at_contract AS (
+  SELECT DISTINCT doc_id, rule FROM found
+  UNION ALL SELECT doc_id, 'slug_shared' FROM at_gate WHERE slug IN (SELECT slug FROM owners GROUP BY slug HAVING count(DISTINCT content_id) > 1)),
+reasons AS (
+  SELECT doc_id, CASE doc_id % 17 WHEN 5 THEN 'not_strict_json' ELSE 'too_large' END AS rules FROM fin WHERE doc_id % 17 IN (5, 7)
+  UNION ALL SELECT doc_id, string_agg(DISTINCT rule, ',' ORDER BY rule) FROM at_set WHERE doc_id IN (SELECT doc_id FROM parsed) GROUP BY doc_id
+  UNION ALL SELECT doc_id, string_agg(DISTINCT rule, ',' ORDER BY rule) FROM at_contract WHERE doc_id IN (SELECT doc_id FROM at_gate) GROUP BY doc_id),
 judged AS (
-  SELECT content_id, doc_id, CASE WHEN doc_id % 17 = 5 THEN 'not_strict_json' ELSE coalesce(
-    (SELECT min(rule) FROM at_set a WHERE a.doc_id = f.doc_id), (SELECT min(rule) FROM found v WHERE v.doc_id = f.doc_id)) END AS rule FROM fin f)
-SELECT doc_id, content_id, CASE WHEN rule IS NULL THEN 'created' ELSE 'refused' END AS status,
-  CASE WHEN rule IS NULL THEN 'unchanged' ELSE 'refused' END AS again, rule FROM judged""")
+  SELECT f.*, coalesce(rules, CASE WHEN doc_id % 13 = 4 THEN 'plan_conflict' END) AS rules FROM fin f LEFT JOIN reasons USING (doc_id))"""
+
+
+@query("publish_cycle", f"""
+WITH {_CYCLE_SQL}
+SELECT CASE WHEN doc_id % 31 <> 3 THEN doc_id END AS doc_id, content_id,
+  CASE WHEN rules IS NOT NULL THEN 'refused' WHEN doc_id % 13 = 5 THEN 'updated' ELSE 'created' END AS status,
+  CASE WHEN rules IS NULL THEN 'unchanged' ELSE 'refused' END AS again, rules
+FROM judged, range(CASE WHEN doc_id % 29 = 2 THEN 2 ELSE 1 END)""")
 def publish_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All gates in a row, twice: the second run finds everything as it is.
+    """All gates in a row over a store with older drafts and public documents, twice: the second run changes nothing.
 
-    Scans of the source become evidence; some sets are no JSON or were changed after their evidence was made.
+    Scans of the source become evidence. Some sets are no JSON, too large, or changed after their evidence was made;
+    some ask for a reversed period, an issue 0 or print wrong counts; neighbours share a slug; rows come twice or
+    without an id.
     """
     sets = derive.finals(spark, sf_dir)
+    n, neighbour = F.col("doc_id") % derive.PERIODS, (F.col("doc_id") % 10 == 7) & (F.col("doc_id") % derive.PERIODS > 0)
+    issue = F.when(neighbour, n).otherwise(n + 1)
+    suffix = F.regexp_extract("slug", r"(-r[0-9]+)?$", 0)
+    sets = sets.withColumns({"issue": issue, "slug": F.concat(dates.slug(issue), suffix)})
     safe, unnamed = cycle.scan_flags(F.col("text"))
     sealed = build_evidence(sets, F.col("start"), F.col("end"), F.col("text"), "anon", safe, unnamed)
-    json = F.to_json("final")
-    tampered = F.when(F.col("doc_id") % 17 == 5, F.concat(json, F.lit("}"))) \
-        .when(F.col("doc_id") % 17 == 6, F.regexp_replace(json, '"period_id":"p', '"period_id":"q')).otherwise(json)
+    json, case = F.to_json("final"), F.col("doc_id") % 17
+    tampered = F.when(case == 5, F.concat(json, F.lit("}"))).when(case == 6, F.regexp_replace(json, '"period_id":"p', '"period_id":"q')) \
+        .when(case == 7, F.concat(json, F.repeat(F.lit(" "), fixed.MAX_DOCUMENT_BYTES))) \
+        .when(case == 8, F.regexp_replace(json, f'"{fixed.STAT_QUESTIONS}":', f'"{fixed.STAT_QUESTIONS}":7')).otherwise(json)
     path = scratch_dir(spark, "approved")
-    sealed.select("doc_id", F.encode(tampered, "UTF-8").alias("content"), "start", "end", "issue", "generated_at", "content_id", "slug").write.parquet(path)
+    sealed.select(
+        "doc_id", F.encode(tampered, "UTF-8").alias("content"), F.when(case == 9, F.date_add("end", 1)).otherwise(F.col("start")).alias("start"), "end",
+        F.when(case == 10, 0).otherwise(F.col("issue")).alias("issue"), "generated_at", "content_id", "slug").write.parquet(path)
     raw, target = spark.read.parquet(path), scratch_dir(spark, "published")
-    first, second = (cycle.publish_cycle(raw, target, "anon", max_bytes=16 << 20) for _ in range(2))
-    return first.join(second.select("doc_id", F.col("status").alias("again")), "doc_id")
+    raw = raw.unionByName(raw.filter("doc_id % 29 = 2"))
+    older = sealed.filter("doc_id % 13 IN (4, 5)").withColumn("generated_at", F.lit("2029-12-31T00:00:00Z"))
+    seeds = project_publication(older, "anon").select(
+        "content_id", F.try_variant_get("doc", "$.content_sha256", "string").alias("content_sha256"), canonical.canonical_json(F.col("doc")).alias("document"))
+    store.write_publications_if_changed(seeds, target)
+    public = raw.filter("doc_id % 13 = 4").select("content_id")
+    raw = raw.withColumn("doc_id", F.when(F.col("doc_id") % 31 != 3, F.col("doc_id")))
+    first, second = (cycle.publish_cycle(raw, target, "anon", published=public) for _ in range(2))
+    again = second.groupBy("content_id").agg(F.min("status").alias("again"))
+    return first.join(again, "content_id").select("doc_id", "content_id", "status", "again", "rules")
 
 
 @query("publication_paths", f"""

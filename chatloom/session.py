@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from pathlib import Path
 
@@ -43,6 +45,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/chatloom/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A scratch folder that is deleted afterwards: for frames that nothing reads any more when the block ends."""
+    path = scratch_dir(spark, name)
+    try:
+        yield path
+    finally:
+        context = spark.sparkContext
+        at = context._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
 @lru_cache(maxsize=1)
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
