@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chatloom import fixed
 from chatloom.functions import patterns
-from chatloom.settings import DEFAULTS, NamePolicy
+from chatloom.settings import DEFAULTS, NamePolicy, TERMS
 
 
 def _sub(text: Column, pattern: str, replacement: str) -> Column:
@@ -38,7 +38,7 @@ def add_auto_tags(tags: Column, auto: tuple[str, ...] = fixed.AUTO_TAGS) -> Colu
     return F.array_union(F.coalesce(tags, F.array().cast("array<string>")), F.array(*map(F.lit, auto)))
 
 
-def rename_terms(text: Column, pairs: tuple[tuple[str, str], ...] = fixed.WEEK_TERMS) -> Column:
+def rename_terms(text: Column, pairs: tuple[tuple[str, str], ...] = TERMS) -> Column:
     """Literal replacements in list order."""
     return reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), pairs, text)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom import fixed
+from chatloom.settings import SECTIONS
 
 
 def attach_verdicts(items: DataFrame, verdicts: DataFrame, on: str = "item_id") -> DataFrame:
@@ -24,8 +25,8 @@ def verdict_counts(verdicts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def section_table(periods: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
-    """The six fixed sections of every period, empty ones with their message.
+def section_table(periods: DataFrame, counts: DataFrame, keys: list[str], sections: tuple[tuple[str, str, str, str], ...] = SECTIONS) -> DataFrame:
+    """The fixed sections of every period, empty ones with their message.
 
     ``counts`` holds ``section`` and ``n``.
     """
@@ -34,12 +35,12 @@ def section_table(periods: DataFrame, counts: DataFrame, keys: list[str]) -> Dat
             F.lit(i).cast("bigint").alias("position"), F.lit(sid).alias("section"),
             F.lit(label).alias("label"), F.lit(title).alias("title"), F.lit(empty).alias("empty_message"),
         )
-        for i, (sid, label, title, empty) in enumerate(fixed.SECTIONS, 1)
+        for i, (sid, label, title, empty) in enumerate(sections, 1)
     ])
-    sections = periods.select(*keys, F.inline(fixed_rows))
+    rows = periods.select(*keys, F.inline(fixed_rows))
     n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
     return (
-        sections.join(counts, [*keys, "section"], "left")
+        rows.join(counts, [*keys, "section"], "left")
         .select(
             *keys, "position", "section", "label", "title", n.alias("n_items"),
             F.when(n == 0, F.col("empty_message")).otherwise(F.lit("")).alias("message"),

@@ -156,12 +156,12 @@ def rank_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("sections_fixed", f"""
 WITH {MSG_SQL},
 fixed_rows(position, section, label, title, empty_message) AS (VALUES
-  (1, 'topics', 'This Week', '이번 주 주요 주제', '이번 주에는 두드러진 주제가 없었습니다.'),
-  (2, 'solved', 'Solved', '해결된 질문', '이번 주에는 해결된 질문이 없었습니다.'),
-  (3, 'open', 'Open', '아직 답이 없는 질문', '이번 주에는 답을 기다리는 질문이 없었습니다.'),
-  (4, 'tips', 'Tips', '이번 주의 팁', '이번 주에는 공유된 팁이 없었습니다.'),
-  (5, 'actions', 'Actions', '하기로 한 것', '이번 주에는 정해진 약속이 없었습니다.'),
-  (6, 'involved', 'Get Involved', '함께하기', '')),
+  (1, 'topics', 'Topics', '많이 나눈 이야기', '주제로 묶인 대화가 없습니다.'),
+  (2, 'solved', 'Answers', '답을 찾은 질문', '답을 찾은 질문이 없습니다.'),
+  (3, 'open', 'Questions', '답을 찾는 질문', '남은 질문이 없습니다.'),
+  (4, 'tips', 'Know-how', '나눈 요령', '새로 나눈 요령이 없습니다.'),
+  (5, 'actions', 'To do', '할 일', '정한 일이 없습니다.'),
+  (6, 'involved', 'Join', '참여 방법', '')),
 days AS (SELECT DISTINCT room_id, strftime(ts, '%Y-%m-%d') AS day FROM msg),
 counts AS (
   SELECT room_id, strftime(ts, '%Y-%m-%d') AS day,

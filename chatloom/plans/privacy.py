@@ -274,8 +274,8 @@ def owner_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("term_rename", """
-SELECT event_id, replace(replace(replace(replace('이번 구간 ' || event_type || ', 지난 구간, 구간별 참여자 수',
-  '이번 구간', '이번 주'), '지난 구간', '지난 주'), '구간', '주간'), '참여자 수', '함께한 선생님') AS line FROM events""")
+SELECT event_id, replace(replace(replace(replace('현재 기간 ' || event_type || ', 직전 기간, 기간별 인원',
+  '현재 기간', '금주'), '직전 기간', '전주'), '기간', '주'), '인원', '참여한 사람') AS line FROM events""")
 def term_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.concat(F.lit("이번 구간 "), F.col("event_type"), F.lit(", 지난 구간, 구간별 참여자 수"))
+    line = F.concat(F.lit("현재 기간 "), F.col("event_type"), F.lit(", 직전 기간, 기간별 인원"))
     return derive.table(spark, sf_dir, "events").select("event_id", text.rename_terms(line).alias("line"))

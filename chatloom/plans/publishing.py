@@ -441,8 +441,23 @@ def report_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SQUEEZED = "trim(regexp_replace({0}, '[\\s\\p{{Z}}\\x0b\\x1c-\\x1f\\x85]+', ' ', 'g'))"
+
+
 @query("report_recovered", f"""
-WITH {FINAL_SQL}, judged AS (SELECT *, {_PROBLEM_SQL} AS problem FROM fin)
+WITH {FINAL_SQL}, pages AS (SELECT *, {_PROBLEM_SQL} AS page_problem FROM fin),
+readable AS (SELECT *, {_SQUEEZED.format('text')} AS intro, list_transform(lines, lambda x: {_SQUEEZED.format('x')}) AS bodies FROM pages WHERE page_problem IS NULL),
+texts AS (
+  SELECT doc_id, 3000 AS max_len, intro AS string FROM readable UNION ALL
+  SELECT doc_id, 8000, unnest(bodies) FROM readable),
+broken AS (
+  SELECT doc_id, 'unsafe_text' AS rule FROM texts WHERE len({kinds_sql('string', RE2_PII | RE2_PATHS)}) > 0
+  UNION ALL SELECT doc_id, 'max_length' FROM texts WHERE length(string) > max_len
+  UNION ALL SELECT doc_id, 'string_limit' FROM texts WHERE length(string) > 8000
+  UNION ALL SELECT doc_id, 'max_items' FROM readable WHERE len(lines) > 100
+  UNION ALL SELECT doc_id, 'total_limit' FROM readable WHERE len(lines) + n_faq + n_open + 2 > 250),
+judged AS (
+  SELECT p.*, coalesce(page_problem, 'contract: ' || (SELECT string_agg(DISTINCT rule, ',' ORDER BY rule) FROM broken b WHERE b.doc_id = p.doc_id)) AS problem FROM pages p)
 SELECT doc_id, problem,
   CASE WHEN problem IS NULL THEN 'insight-' || strftime(s, '%Y%m%d') || '-' || strftime(e, '%Y%m%d') END AS content_id,
   CASE WHEN problem IS NULL THEN '보고 함께한 선생님' END AS hook_title,

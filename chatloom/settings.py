@@ -40,12 +40,30 @@ class CrawlSource:
     languages: tuple[str, ...] = ("ko", "en")
 
 
+#: Sections of a digest in order: id, short label, heading, and what stands in an empty one.
+SECTIONS = (
+    ("topics", "Topics", "많이 나눈 이야기", "주제로 묶인 대화가 없습니다."),
+    ("solved", "Answers", "답을 찾은 질문", "답을 찾은 질문이 없습니다."),
+    ("open", "Questions", "답을 찾는 질문", "남은 질문이 없습니다."),
+    ("tips", "Know-how", "나눈 요령", "새로 나눈 요령이 없습니다."),
+    ("actions", "To do", "할 일", "정한 일이 없습니다."),
+    ("involved", "Join", "참여 방법", ""),
+)
+#: Terms of drafts and what readers get to see, longer ones first.
+TERMS = (("현재 기간", "금주"), ("직전 기간", "전주"), ("기간", "주"), ("인원", "참여한 사람"))
+
+
 @dataclass(frozen=True)
 class DigestSettings:
     title_pattern: str = "주간 인사이트 {issue}호"
     embed_id: str = "insight-publication"
     chunk_sources: tuple[str, ...] = ("chat", "help", "site")
     policy: NamePolicy = field(default_factory=NamePolicy)
+    sections: tuple[tuple[str, str, str, str], ...] = SECTIONS
+    terms: tuple[tuple[str, str], ...] = TERMS
+    #: What recovered pages get that have no introduction, or topics without a reason.
+    no_intro: str = "소개 글이 없는 호입니다."
+    no_reason: str = "이유가 적혀 있지 않습니다."
 
 
 DEFAULTS = DigestSettings()

@@ -49,10 +49,14 @@ def test_types_are_exact(spark):
     assert {r.j: r.t for r in rows.collect()} == want
 
 
-def test_embedding_cannot_break_out(spark):
-    doc = json.dumps({"title": "</script><script>x</script>", "intro": "A&B\u2028C"})
-    html = one(spark, canonical.embed_json(F.parse_json("j"), "e"), j=doc)
-    assert "</script><script>" not in html and "\\u003c/script\\u003e" in html and "A\\u0026B\\u2028C" in html
+@pytest.mark.parametrize("sign", ["&", "<", ">", "\u2028", "\u2029"])
+def test_embedding_cannot_break_out(spark, sign):
+    """Each escaped sign at both ends, doubled, in keys and nested values; closing tags in any case."""
+    doc = {f"{sign}k{sign}": [sign * 2, {"deep": f"{sign}x</SCRIPT >{sign}"}], "plain": "</style><!-- -->"}
+    html = one(spark, canonical.embed_json(F.parse_json("j"), "e"), j=json.dumps(doc))
+    inner = html[html.index(">") + 1:html.rindex("</script>")]
+    assert not set("&<>\u2028\u2029") & set(inner)
+    assert json.loads(inner) == doc
 
 
 @pytest.mark.parametrize("value, kind", [
