@@ -11,7 +11,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 #: Queries that SQL cannot express; tests compare them with a plain computation.
-BRUTE_FORCE = {"page_chunks", "stream_digest_stats"}
+BRUTE_FORCE = {"page_chunks"}
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
