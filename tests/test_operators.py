@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators import contract, kb, messages, privacy, projection, publish, recovery
 from chatloom.operators.ranking import running_number
-from chatloom.operators.vector_search import knn
+from chatloom.operators.vector_search import build_index, knn, search_index
 from chatloom.plans import derive
 from chatloom.session import scratch_dir
 from chatloom.sources import chat, documents as store, html
@@ -82,6 +82,40 @@ def test_knn_both_ways_against_brute_force(spark, block_rows):
     assert {(r.query_id, r.chunk_id, r.position) for r in got.collect()} == want
 
 
+def _vectors(spark, m, name):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], f"{name} bigint, embedding array<double>")
+
+
+def test_index_prunes_clustered_vectors_and_stays_exact(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16))
+    chunks = centres[rng.integers(0, 40, 3_000)] + 0.05 * rng.normal(size=(3_000, 16))
+    chunks[::500] = chunks[1]  # ties
+    chunks[7] = 0  # no direction
+    queries = np.vstack([centres[:12] + 0.05 * rng.normal(size=(12, 16)), chunks[1:2], -chunks[2:3]])
+    index = build_index(_vectors(spark, chunks, "chunk_id"), str(tmp_path / "index"), 16, clusters=40)
+    got = search_index(index, _vectors(spark, queries, "query_id"), 5, shard_rows=50).collect()
+    norm = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+    sim = norm(queries) @ norm(chunks).T
+    want = {(q, int(c), p + 1) for q in range(len(queries)) for p, c in enumerate(np.argsort(-sim[q].round(12), kind="stable")[:5])}
+    assert {(r.query_id, r.chunk_id, r.position) for r in got} == want
+    compared = {r.query_id: r.compared for r in got}
+    assert sum(compared[q] for q in range(12)) < 0.2 * 12 * 3_000
+    again = search_index(index, _vectors(spark, queries[3:4], "query_id"), 2).collect()  # the index is there to be used again
+    assert [r.chunk_id for r in sorted(again, key=lambda r: r.position)] == [c for q, c, p in sorted(want, key=lambda w: w[2]) if q == 3][:2]
+
+
+def test_index_of_nothing_little_and_one_place(spark):
+    queries = _vectors(spark, [[1.0, 0.0], [0.0, 0.0]], "query_id")
+    none = _vectors(spark, [[1.0, 1.0]], "chunk_id").filter("false")
+    assert knn(queries, none, 3).collect() == []
+    few = _vectors(spark, [[0.0, 1.0], [0.0, 0.0], [2.0, 0.0]], "chunk_id")
+    got = sorted((r.query_id, r.position, r.chunk_id) for r in knn(queries, few, 5).collect())
+    assert got == [(0, 1, 2), (0, 2, 0), (0, 3, 1), (1, 1, 0), (1, 2, 1), (1, 3, 2)]
+    same = _vectors(spark, [[3.0, 4.0]] * 500, "chunk_id")
+    assert [r.chunk_id for r in sorted(knn(queries.filter("query_id = 0"), same, 3, shard_rows=20).collect(), key=lambda r: r.position)] == [0, 1, 2]
+
+
 def test_valid_document_and_its_violations(spark):
     final = """{"period_id":"p","report":{"hook_title":" 어떻게? ","intro":"소개","sections":{"stats":{"메시지 수":3},
       "topics":[{"topic":"a","why":"b","source_thread_ids":["x"]}],"unresolved":[{"question":"q","source_message_ids":[1]}]},
