@@ -21,8 +21,7 @@ stay; those named like a result are replaced.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,7 +38,9 @@ DEPTH, SUFFIX = 5, 2
 HEAD = DEPTH - 1
 BLOCK_BYTES = 24 << 20
 UNITS_A_BUCKET, SYMBOLS_A_BUCKET = 400_000, 300_000
-_WORD, _HEAD = b"w", b"h"
+_WORD, _HEAD, _END = b"w", b"h", b"\n"
+#: Words that are looked up at a time.
+_TOGETHER = 200_000
 _HALF = math.log(0.5)
 
 
@@ -74,6 +75,53 @@ def units(words: list[bytes]) -> list[bytes]:
     return [*(_WORD + w for w in words), _WORD]
 
 
+class Numbering:
+    """Numbers for words, for their last ``SUFFIX`` bytes and for their first bytes, so that arrays stand for texts."""
+
+    def __init__(self) -> None:
+        self.words: dict[bytes, int] = {}
+        self.suffixes: dict[bytes, int] = {b"": 0}
+        self.heads: dict[bytes, int] = {_END: 0}
+        self._of: list[tuple[int, int]] = []
+
+    def add(self, words: list[bytes]) -> None:
+        for w in words:
+            if w not in self.words:
+                self.words[w] = len(self.words)
+                self._of.append((self.suffixes.setdefault(w[-SUFFIX:], len(self.suffixes)), self.heads.setdefault((w + b" ")[:HEAD], len(self.heads))))
+
+    def numbers(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of all texts in a row, by number, and the number of words of each."""
+        parts, sizes, held = [], [], []
+        for text in texts:
+            found = tokens(text)
+            sizes.append(len(found))
+            held += found
+            if len(held) >= _TOGETHER:
+                parts.append(self._numbered(held))
+                held = []
+        parts.append(self._numbered(held))
+        return np.concatenate(parts), np.array(sizes, np.int64)
+
+    def _numbered(self, words: list[bytes]) -> np.ndarray:
+        found = list(map(self.words.get, words))
+        if None in found:
+            self.add(words)
+            found = list(map(self.words.__getitem__, words))
+        return np.array(found, np.int32)
+
+    def head_pairs(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """For every token, ends included: the suffix before it and its head, packed in an integer."""
+        of = np.array(self._of or [(0, 0)], np.int64)
+        suffix, head = np.zeros(len(words) + len(sizes), np.int64), np.zeros(len(words) + len(sizes), np.int64)
+        inside = np.ones(len(head), bool)
+        inside[np.cumsum(sizes + 1) - 1] = False
+        suffix[inside], head[inside] = of[words].T
+        before = np.zeros_like(suffix)
+        before[1:] = suffix[:-1]  # an end leaves nothing to the text after it
+        return before << 32 | head
+
+
 def symbols(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(context and byte packed in an integer, number of the unit) of all bytes that the units code."""
     parts, skip = [], np.empty(len(found), np.int64)
@@ -169,14 +217,21 @@ def block_units(docs: DataFrame) -> DataFrame:
     """``(block, unit, c)``: distinct units of each block of documents, with their occurrences in training ones."""
 
     def work(part: pd.DataFrame) -> pd.DataFrame:
-        known, other = Counter(), set()
-        for text, train in zip(part["text"], part["train"], strict=True):
-            words = tokens(text)
-            for found in (units(words), heads(words)):
-                known.update(found) if train else other.update(found)
-        for unit in other:
-            known.setdefault(unit, 0)
-        return pd.DataFrame({"block": part["block"].iloc[0], "unit": list(known), "c": list(known.values())})
+        numbering, known, ends = Numbering(), [], []
+        for train in (True, False):
+            texts = part["text"][part["train"] == train]
+            words, sizes = numbering.numbers(texts)
+            known.append((words, np.unique(numbering.head_pairs(words, sizes), return_counts=True)))
+            ends.append(len(sizes))
+        distinct = list(numbering.words)
+        counts = np.bincount(known[0][0], minlength=len(distinct))
+        (pairs, times), (others, _) = known[0][1], known[1][1]
+        others = np.setdiff1d(others, pairs, assume_unique=True)
+        suffixes, heads_ = list(numbering.suffixes), list(numbering.heads)
+        met = [_HEAD + suffixes[x >> 32] + b" " + heads_[x & 0xFFFFFFFF] for x in np.concatenate([pairs, others]).tolist()]
+        found = [_WORD + w for w in distinct] + ([_WORD] if sum(ends) else []) + met
+        c = np.concatenate([counts, [ends[0]] if sum(ends) else [], times, np.zeros(len(others))]).astype(np.int64)
+        return pd.DataFrame({"block": part["block"].iloc[0], "unit": found, "c": c})
 
     return docs.select("block", "text", "train").groupBy("block").applyInPandas(work, "block int, unit binary, c long")
 
@@ -256,15 +311,27 @@ def score_texts(docs: DataFrame, train: str, text: str = "text") -> DataFrame:
     known = listed.select("block", "unit").join(unit_logs(vocabulary, logs), "unit")
 
     def work(part: pa.Table, there: pa.Table) -> pa.Table:
-        place = {unit: i for i, unit in enumerate(there.column("unit").to_pylist())}
-        c, log = there.column("c").to_numpy(), there.column("log").to_numpy()
+        units_, c, log = there.column("unit").to_pylist(), there.column("c").to_numpy(), there.column("log").to_numpy()
         base = np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
-        rows = []
-        for text in part.column("text").to_pylist():
-            words = tokens(text)
-            own, head = (np.fromiter(map(place.__getitem__, x), np.int64, len(words) + 1) for x in (units(words), heads(words)))
-            rows.append((len(own), int((c[own] > 0).sum()), float(base[own].sum()), float(log[own].sum() + log[head].sum())))
-        found = zip(*rows, strict=True) if rows else [()] * 4
+        numbering = Numbering()
+        numbering.add([u[1:] for u in units_ if u[:1] == _WORD and len(u) > 1])
+        of_word = np.array([i for i, u in enumerate(units_) if u[:1] == _WORD and len(u) > 1], np.int64)
+        of_end = next(i for i, u in enumerate(units_) if u == _WORD)
+        of_pair = np.array([i for i, u in enumerate(units_) if u[:1] == _HEAD], np.int64)
+        cuts = [units_[i].index(b" ") for i in of_pair.tolist()]
+        pairs = np.array([numbering.suffixes[units_[i][1:at]] << 32 | numbering.heads[units_[i][at + 1:]] for i, at in zip(of_pair.tolist(), cuts, strict=True)], np.int64)
+        order = np.argsort(pairs)
+        pairs, of_pair = pairs[order], of_pair[order]
+        words, sizes = numbering.numbers(part.column("text").to_pylist())
+        head = of_pair[np.searchsorted(pairs, numbering.head_pairs(words, sizes))]
+        own = np.full(len(head), of_end)
+        ends = np.cumsum(sizes + 1) - 1
+        inside = np.ones(len(head), bool)
+        inside[ends] = False
+        own[inside] = of_word[words]
+        text = np.repeat(np.arange(len(sizes)), sizes + 1)
+        found = (sizes + 1, np.bincount(text, c[own] > 0, len(sizes)).astype(np.int64), np.bincount(text, base[own], len(sizes)),
+                 np.bincount(text, log[own] + log[head], len(sizes)))
         columns = [pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)]
         return pa.Table.from_arrays([*(part.column(o) for o in owned), *columns], names=[*owned, "n_tokens", "n_known", "base_score", "score"])
 
