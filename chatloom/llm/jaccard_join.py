@@ -335,10 +335,11 @@ def drop_copies(docs: DataFrame, size: int = SIZE, doc_id: str = "doc_id", text:
     best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("row"))
     stays = F.col("doc_id").eqNullSafe(F.col("row.doc_id")) & (F.col("text_hash") == F.col("row.text_hash"))
     marked = rows.join(best, "component").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), stays.alias("__once"), "copies")
-    marked = staged(marked.filter("NOT __once OR copies > 1").drop("copies"), "copies")
+    # copies grow with the corpus: joined by the same merge at every size, instead of a broadcast while they are few
+    marked = staged(marked.filter("NOT __once OR copies > 1").drop("copies"), "copies").hint("merge")
     same_row = F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (text_hash(text) == F.col("__hash"))
     alone = docs.join(marked, same_row, "left_anti").select(*docs.columns)
-    once = docs.join(marked.filter("__once"), same_row).dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    once = docs.join(marked.filter("__once").hint("merge"), same_row).dropDuplicates(["__id", "__hash"]).select(*docs.columns)
     return alone.unionByName(once)
 
 

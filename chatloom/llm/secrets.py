@@ -118,7 +118,8 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mask: st
     """``docs`` with every reported span, overlapping ones together, replaced by ``mask``."""
     found = find_secrets(docs, doc_id, text).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "start", "end")
     spans = found.groupBy("__id", "__hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
-    joined = docs.join(spans, F.col(doc_id).eqNullSafe(F.col("__id")) & (text_hash(text) == F.col("__hash")), "left")
+    # spans grow with the corpus: joined by the same merge at every size, instead of a broadcast while they are few
+    joined = docs.join(spans.hint("merge"), F.col(doc_id).eqNullSafe(F.col("__id")) & (text_hash(text) == F.col("__hash")), "left")
     # Ends so far in the order of starts: a span that starts beyond them begins a new cut.
     state = F.aggregate(
         "__spans", F.struct(F.lit(0).cast("bigint").alias("at"), F.expr("cast(array() as array<string>)").alias("out")),
