@@ -11,7 +11,7 @@ query gets its best ``k`` of each shard.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do vectors of
 another dimension than the pivots. Equal vectors are all candidates; ties go to the smaller id. Rows with one id count
-once each. Without valid rows the result is empty, and with fewer rows than ``k`` all of them are found.
+once each as candidates; equal query rows ask once. A row without an id can be found, first among ties, but asks nothing. Without valid rows the result is empty, and with fewer rows than ``k`` all of them are found.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from chatloom.llm.registry import table
 from chatloom.session import ship_package
 
 PIVOTS = 64
+#: Stands for a null id in tasks, whose columns would turn to floats by a null.
+NO_ID = -(2**63)
 PREFIX = 32
 FRACTION = 0.35
 SHARD_ROWS, BLOCK_ROWS = 8_192, 2_048
@@ -82,8 +84,9 @@ def search(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest rows found for every query but the query's own id."""
     ship_package(rows.sparkSession)
-    narrow = lambda df: df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")).filter(valid(F.col("vector")))
-    rows, queries = narrow(rows), narrow(queries)
+    narrow = lambda df: df.select(F.coalesce(F.col(vec_id).cast("long"), F.lit(NO_ID)).alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")).filter(valid(F.col("vector")))
+    # a query counts once for each of its vectors, however often its row occurs; a null id can be found, but asks nothing
+    rows, queries = narrow(rows), narrow(queries).filter(F.col("vec_id") != NO_ID).dropDuplicates(["vec_id", "vector"])
     chosen = fit_pivots(rows, pivots)
     prefix = min(prefix, max(1, len(chosen) // 2))
     shards, blocks = max(1, math.ceil(rows.count() / shard_rows)), max(1, math.ceil(queries.count() / block_rows))
@@ -114,7 +117,8 @@ def search(
     pair = ["shard", "block"]
     found = index.groupBy(*pair).cogroup(asked.groupBy(*pair)).applyInPandas(best, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+        "query_id", "rank", F.when(F.col("vec_id") != NO_ID, F.col("vec_id")).alias("vec_id"), "score")
 
 
 QUERY = "op5_ann"

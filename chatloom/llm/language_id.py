@@ -144,6 +144,6 @@ ORACLE_SQL = None
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))  # learns from rows without an id
     model = fit(docs.filter(~held_out).select("text", "lang"))
     return predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)

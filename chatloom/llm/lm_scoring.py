@@ -349,6 +349,6 @@ ORACLE_SQL = None
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text").withColumn("train", ~F.col("held_out"))
     return score_texts(docs, "train").drop("train")

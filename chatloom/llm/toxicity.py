@@ -422,7 +422,8 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: f
 
 
 def held_out():  # noqa: ANN201
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    """Whether a document is held out; one without an id is not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 QUERY = "op9_toxicity"

@@ -123,6 +123,19 @@ def test_neighbours_against_brute_force(spark, small):
     assert ann.search(df, df.filter("false")).count() == 0
 
 
+def test_repeated_query_rows_and_ids_ask_once(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i if i else None, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 8)))] + [(2**60 + 1, [1.0] * 8), (2**60 + 2, [1.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    once = df.filter("vec_id IN (5, 6)")
+    want = sorted(map(tuple, ann.search(once, df).collect()))
+    assert sorted(map(tuple, ann.search(once.unionByName(once).unionByName(once), df).collect())) == want
+    assert len(want) == 20 and [r[1] for r in want] == [*range(1, 11)] * 2
+    assert ann.search(df.filter("vec_id IS NULL"), df).count() == 0
+    big = ann.search(df.filter(f"vec_id = {2**60 + 1}"), df).orderBy("rank").first()
+    assert big.query_id == 2**60 + 1 and big.vec_id == 2**60 + 2 and big.score == 0
+
+
 def brute_components(rows, size=5):
     sets = {}
     for i, text in rows:

@@ -180,3 +180,15 @@ def test_of_repeated_ids_one_text_trains(spark, monkeypatch):
     rows = [(1, "bad " * 9), (1, "bad"), (2, "good day"), (3, None)]
     model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int"))
     assert sent == [{1: 3, 2: 8, 3: 0}] and model is not None
+
+
+def test_rows_without_an_id_are_not_held_out(spark, tmp_path):
+    from chatloom.llm import lm_scoring
+
+    rows = [(None, "der die das und", "de", "s", 15), (1, "the of and to", "en", "s", 13), (2, "the of a to", "en", "s", 11), (None, None, "de", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0, 1), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for module in (language_id, lm_scoring, toxicity):
+        got = module.query(spark, str(tmp_path)).collect()
+        assert len(got) == 4 and all(r.held_out is False for r in got if r.doc_id is None)
