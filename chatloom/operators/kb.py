@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions import text
-from chatloom.operators.ranking import running_number
+from chatloom.operators.ranking import range_number, running_number
 from chatloom.operators.vector_search import knn
 from chatloom.settings import DEFAULTS, CrawlSource
 from chatloom.sources.html import page_blocks
@@ -22,21 +22,23 @@ def chunk_pages(pages: DataFrame, max_chars: int = 1000) -> DataFrame:
 
 
 def chat_chunks(
-    messages: DataFrame, keys: list[str], slice_: Column, order: list[str], id_col: str, size: int = 50
+    messages: DataFrame, keys: list[str], slice_: Column | None, order: list[str], id_col: str, size: int = 50
 ) -> DataFrame:
     """Threads → chunks of at most ``size`` messages with the ids they hold.
 
-    Messages are numbered slice by slice, so a thread of any length is spread
-    over tasks and each gathered group has at most ``size`` rows.
+    ``keys`` must tell threads apart, the room among them: messages without a
+    thread make chunks of their own per room.  Messages are numbered slice by
+    slice, or in sampled ranges where ``slice_`` is None, so a thread of any
+    length is spread over tasks and each gathered group has at most ``size`` rows.
     """
-    numbered = running_number(messages, keys, slice_, order, "n")
+    numbered = range_number(messages, keys, order, "n") if slice_ is None else running_number(messages, keys, slice_, order, "n")
     line = F.struct("n", F.col(id_col).alias("id"), F.col("text").alias("text"))
     grouped = numbered.groupBy(*keys, F.floor((F.col("n") - 1) / size).cast("bigint").alias("chunk_no")).agg(
         F.sort_array(F.collect_list(line)).alias("lines")
     )
     return grouped.select(
         *keys, "chunk_no",
-        F.array_join(F.transform("lines", lambda m: m["text"]), "\n").alias("text"),
+        F.array_join(F.transform("lines", lambda m: F.coalesce(m["text"], F.lit(""))), "\n").alias("text"),
         F.array_join(F.transform("lines", lambda m: m["id"].cast("string")), ",").alias("message_ids"),
     )
 

@@ -59,14 +59,22 @@ def resolve_nickname(mapping: DataFrame, wanted: DataFrame, keys: list[str]) ->
     return wanted.join(mapping, [*keys, "nickname"])
 
 
+_HANGUL = "가-힣"
+_ENDINGS = "(?:" + "|".join(sorted((*fixed.PARTICLES, *fixed.NAME_ENDINGS), key=len, reverse=True)) + ")"
+
+
 def candidate_words(col: Column) -> Column:
     """Words of a text, as they stand and with one to three particles or honorifics taken off the end."""
-    words = F.regexp_extract_all(col, F.lit(WORD), F.lit(0))
-    endings = sorted((*fixed.PARTICLES, *fixed.NAME_ENDINGS), key=len, reverse=True)
-    ending = "(?:" + "|".join(endings) + r")\z"
-    bare = lambda w: F.regexp_replace(w, F.lit(ending), F.lit(""))
-    forms = F.transform(words, lambda w: F.array(w, bare(w), bare(bare(w)), bare(bare(bare(w)))))
-    return F.filter(F.array_distinct(F.flatten(forms)), lambda w: w != "")
+    words = F.array_distinct(F.regexp_extract_all(col, F.lit(WORD), F.lit(0)))
+    cut = F.sequence(F.lit(1), F.lit(3))
+
+    def forms(word: Column) -> Column:
+        """Endings are Hangul, so other words have one form only."""
+        shorter = F.aggregate(
+            cut, F.array(word), lambda seen, _: F.concat(seen, F.array(F.regexp_replace(F.element_at(seen, -1), F.lit(_ENDINGS + r"\z"), F.lit("")))))
+        return F.when(F.substring(word, -1, 1).between("가", "힣"), shorter).otherwise(F.array(word))
+
+    return F.filter(F.array_distinct(F.flatten(F.transform(words, forms))), lambda w: w != "")
 
 
 def apply_pseudonyms(
@@ -77,7 +85,9 @@ def apply_pseudonyms(
     A name is looked for where its first word occurs in the text, found by an
     equi-join of words, so that no row meets the whole list of names of its
     room.  Only names without a word character, where a room has any, meet all
-    texts of the room.  Every whole occurrence is then replaced.
+    texts of the room.  Every whole occurrence is then replaced: one that no other
+    letter of a word precedes and only known endings follow, so that a longer name
+    with the nickname in it stays.
     """
     roster = mapping.select(*keys, "nickname", "pseudonym").filter("nickname <> ''").withColumn(
         "word", F.regexp_extract("nickname", WORD, 0)
@@ -94,11 +104,12 @@ def apply_pseudonyms(
     )
 
     def swap(acc: Column, name: Column) -> Column:
-        quoted = F.concat(
-            F.lit(r"(?<![A-Za-z0-9_])\Q"),
-            F.replace(name["nickname"], F.lit(r"\E"), F.lit(r"\E\\E\Q")),
-            F.lit(r"\E(?![A-Za-z0-9_])"),
-        )
+        nickname = name["nickname"]
+        # next to a Hangul letter of a name, Hangul goes on with the word: it must be a known ending
+        before = F.when(F.substring(nickname, 1, 1).between("가", "힣"), F.lit(rf"(?<![A-Za-z0-9_{_HANGUL}])")).otherwise(F.lit(r"(?<![A-Za-z0-9_])"))
+        after = F.when(
+            F.substring(nickname, -1, 1).between("가", "힣"), F.lit(rf"(?={_ENDINGS}{{0,3}}(?![A-Za-z0-9_{_HANGUL}]))")).otherwise(F.lit(r"(?![A-Za-z0-9_])"))
+        quoted = F.concat(before, F.lit(r"\Q"), F.replace(nickname, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"), after)
         return F.regexp_replace(acc, quoted, name["pseudonym"])
 
     return (

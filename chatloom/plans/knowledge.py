@@ -10,7 +10,7 @@ from chatloom.operators import kb
 from chatloom.operators import messages as M
 from chatloom.operators.vector_search import knn
 from chatloom.plans import derive
-from chatloom.plans.derive import MSG_SQL, threads_sql
+from chatloom.plans.derive import GAPPY_SQL, threads_sql
 from chatloom.plans.registry import query
 from chatloom.session import scratch_dir
 from chatloom.settings import CrawlSource
@@ -91,16 +91,19 @@ def chat_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("thread_chunks", f"""
-WITH {MSG_SQL}, {threads_sql('msg')},
-n AS (SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY ts, message_id) AS i FROM threaded)
-SELECT thread_id, (i - 1) // 10 AS chunk_no, string_agg(text, chr(10) ORDER BY i) AS text,
+WITH {GAPPY_SQL},
+dated AS (SELECT * FROM msg WHERE ts IS NOT NULL), {threads_sql('dated')},
+every AS (SELECT room_id, thread_id, ts, message_id, text FROM threaded UNION ALL SELECT room_id, NULL, ts, message_id, text FROM msg WHERE ts IS NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY room_id, thread_id ORDER BY ts, message_id) AS i FROM every)
+SELECT room_id, thread_id, (i - 1) // 10 AS chunk_no, string_agg(coalesce(text, ''), chr(10) ORDER BY i) AS text,
        string_agg(message_id::VARCHAR, ',' ORDER BY i) AS message_ids
 FROM n GROUP BY ALL""")
 def thread_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = M.split_threads(derive.messages(spark, sf_dir))
-    return kb.chat_chunks(
-        rows, ["thread_id"], F.date_trunc("minute", "ts"), ["ts", "message_id"], "message_id", 10
-    )
+    """Messages without a time belong to no thread: they make chunks of their own room, numbered in sampled ranges."""
+    rows = M.split_threads(derive.gappy(derive.messages(spark, sf_dir)))
+    keys, order = ["room_id", "thread_id"], ["ts", "message_id"]
+    dated = kb.chat_chunks(rows.filter("thread_id IS NOT NULL"), keys, F.date_trunc("minute", "ts"), order, "message_id", 10)
+    return dated.unionByName(kb.chat_chunks(rows.filter("thread_id IS NULL"), keys, None, order, "message_id", 10))
 
 
 # --- vectors ----------------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatloom.operators import contract, kb, messages, privacy, projection, publish, recovery
-from chatloom.operators.ranking import running_number
+from chatloom.operators.ranking import range_number, running_number
 from chatloom.operators.vector_search import build_index, knn, search_index
 from chatloom.plans import derive
 from chatloom.session import scratch_dir
@@ -71,6 +71,31 @@ def test_pseudonyms_replace_whole_names_longest_first(spark):
     assert got == {1: "C님, A과 B가 user_123", 2: "아무도 없음"}
 
 
+@pytest.mark.parametrize("text, want", [
+    ("민수가 왔다", "A가 왔다"), ("민수정이 왔다", "민수정이 왔다"), ("김민수와 민수", "김민수와 A"), ("민수네 집", "A네 집"), ("@민수님께서는", "@A님께서는"),
+    ("민수에게도, 민수.", "A에게도, A."), ("수민수정과 민수야", "수민수정과 A야"), ("민수쌤하고", "A쌤하고"), ("민수x", "민수x"),
+])
+def test_names_within_other_names_stay(spark, text, want):
+    rows = spark.createDataFrame([("r", 1, text + " 그리고 민수")], "room_id string, id bigint, text string")
+    mapping = spark.createDataFrame([("r", "민수", "A")], "room_id string, nickname string, pseudonym string")
+    assert privacy.apply_pseudonyms(rows, mapping, ["room_id"], "id", "text").first().text == want + " 그리고 A"
+
+
+def test_chunks_never_mix_rooms(spark):
+    rows = spark.createDataFrame([(f"r{i % 2}", i, None, None, f"t{i}") for i in range(30)], "room_id string, message_id bigint, ts timestamp, thread_id string, text string")
+    for slice_ in (None, F.lit(1)):
+        got = kb.chat_chunks(rows, ["room_id", "thread_id"], slice_, ["ts", "message_id"], "message_id", 4).collect()
+        assert len(got) == 8 and all({int(t[1:]) % 2 for t in r.text.split("\n")} == {int(r.room_id[1])} for r in got)
+
+
+def test_range_numbers_of_one_big_group_come_from_several_tasks(spark):
+    rows = spark.range(200_000).select(F.lit("r").alias("room"), F.lit(None).cast("timestamp").alias("ts"), ((F.col("id") * 7919) % 200_000).alias("v"))
+    got = range_number(rows, ["room"], ["ts", "v"], "n", 6)
+    assert got.columns == ["room", "ts", "v", "n"] and got.filter("n <> v + 1").count() == 0 and got.count() == 200_000
+    ties = range_number(rows.withColumn("v", F.lit(0)), ["room"], ["ts", "v"], "n", 6)
+    assert ties.agg(F.count_distinct("n"), F.max("n")).first()[:] == (200_000, 200_000)
+
+
 @pytest.mark.parametrize("block_rows", [1000, 3])
 def test_knn_both_ways_against_brute_force(spark, block_rows):
     rng = np.random.default_rng(1)
