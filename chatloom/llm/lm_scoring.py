@@ -90,18 +90,18 @@ class Numbering:
                 self.words[w] = len(self.words)
                 self._of.append((self.suffixes.setdefault(w[-SUFFIX:], len(self.suffixes)), self.heads.setdefault((w + b" ")[:HEAD], len(self.heads))))
 
-    def numbers(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Words of all texts in a row, by number, and the number of words of each."""
-        parts, sizes, held = [], [], []
+    def batches(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Words of runs of texts, by number, and the number of words of each text; a run has about ``_TOGETHER`` words."""
+        held, sizes = [], []
         for text in texts:
             found = tokens(text)
             sizes.append(len(found))
             held += found
             if len(held) >= _TOGETHER:
-                parts.append(self._numbered(held))
-                held = []
-        parts.append(self._numbered(held))
-        return np.concatenate(parts), np.array(sizes, np.int64)
+                yield self._numbered(held), np.array(sizes, np.int64)
+                held, sizes = [], []
+        if sizes:
+            yield self._numbered(held), np.array(sizes, np.int64)
 
     def _numbered(self, words: list[bytes]) -> np.ndarray:
         found = list(map(self.words.get, words))
@@ -217,20 +217,24 @@ def block_units(docs: DataFrame) -> DataFrame:
     """``(block, unit, c)``: distinct units of each block of documents, with their occurrences in training ones."""
 
     def work(part: pd.DataFrame) -> pd.DataFrame:
-        numbering, known, ends = Numbering(), [], []
+        numbering = Numbering()
+        counts, met, times, n_texts = np.zeros(0, np.int64), [], [], 0
         for train in (True, False):
-            texts = part["text"][part["train"] == train]
-            words, sizes = numbering.numbers(texts)
-            known.append((words, np.unique(numbering.head_pairs(words, sizes), return_counts=True)))
-            ends.append(len(sizes))
+            for words, sizes in numbering.batches(part["text"][part["train"] == train]):
+                pairs, n = np.unique(numbering.head_pairs(words, sizes), return_counts=True)
+                met.append(pairs)
+                times.append(n if train else np.zeros(len(n), np.int64))
+                if train:
+                    own = np.bincount(words, minlength=len(numbering.words))
+                    own[:len(counts)] += counts
+                    counts, n_texts = own, n_texts + len(sizes)
         distinct = list(numbering.words)
-        counts = np.bincount(known[0][0], minlength=len(distinct))
-        (pairs, times), (others, _) = known[0][1], known[1][1]
-        others = np.setdiff1d(others, pairs, assume_unique=True)
+        counts = np.concatenate([counts, np.zeros(len(distinct) - len(counts), np.int64)])
+        pairs, back = np.unique(np.concatenate(met), return_inverse=True)
+        times = np.bincount(back, np.concatenate(times), len(pairs)).astype(np.int64)
         suffixes, heads_ = list(numbering.suffixes), list(numbering.heads)
-        met = [_HEAD + suffixes[x >> 32] + b" " + heads_[x & 0xFFFFFFFF] for x in np.concatenate([pairs, others]).tolist()]
-        found = [_WORD + w for w in distinct] + ([_WORD] if sum(ends) else []) + met
-        c = np.concatenate([counts, [ends[0]] if sum(ends) else [], times, np.zeros(len(others))]).astype(np.int64)
+        found = [_WORD + w for w in distinct] + [_WORD] + [_HEAD + suffixes[x >> 32] + b" " + heads_[x & 0xFFFFFFFF] for x in pairs.tolist()]
+        c = np.concatenate([counts, [n_texts], times])
         return pd.DataFrame({"block": part["block"].iloc[0], "unit": found, "c": c})
 
     return docs.select("block", "text", "train").groupBy("block").applyInPandas(work, "block int, unit binary, c long")
@@ -322,16 +326,17 @@ def score_texts(docs: DataFrame, train: str, text: str = "text") -> DataFrame:
         pairs = np.array([numbering.suffixes[units_[i][1:at]] << 32 | numbering.heads[units_[i][at + 1:]] for i, at in zip(of_pair.tolist(), cuts, strict=True)], np.int64)
         order = np.argsort(pairs)
         pairs, of_pair = pairs[order], of_pair[order]
-        words, sizes = numbering.numbers(part.column("text").to_pylist())
-        head = of_pair[np.searchsorted(pairs, numbering.head_pairs(words, sizes))]
-        own = np.full(len(head), of_end)
-        ends = np.cumsum(sizes + 1) - 1
-        inside = np.ones(len(head), bool)
-        inside[ends] = False
-        own[inside] = of_word[words]
-        text = np.repeat(np.arange(len(sizes)), sizes + 1)
-        found = (sizes + 1, np.bincount(text, c[own] > 0, len(sizes)).astype(np.int64), np.bincount(text, base[own], len(sizes)),
-                 np.bincount(text, log[own] + log[head], len(sizes)))
+        del units_
+        done = []
+        for words, sizes in numbering.batches(x.as_py() for x in part.column("text")):
+            head = of_pair[np.searchsorted(pairs, numbering.head_pairs(words, sizes))]
+            own, inside = np.full(len(head), of_end), np.ones(len(head), bool)
+            inside[np.cumsum(sizes + 1) - 1] = False
+            own[inside] = of_word[words]
+            text = np.repeat(np.arange(len(sizes)), sizes + 1)
+            done.append((sizes + 1, np.bincount(text, c[own] > 0, len(sizes)).astype(np.int64), np.bincount(text, base[own], len(sizes)),
+                         np.bincount(text, log[own] + log[head], len(sizes))))
+        found = [np.concatenate(x) for x in zip(*done, strict=True)] if done else [[]] * 4
         columns = [pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)]
         return pa.Table.from_arrays([*(part.column(o) for o in owned), *columns], names=[*owned, "n_tokens", "n_known", "base_score", "score"])
 
