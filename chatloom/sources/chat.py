@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -20,6 +20,48 @@ def read_chat_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_chat_csv_in_splits(spark: SparkSession, path: str) -> DataFrame:
+    """``read_chat_csv`` for exports of any size: one large file is read by many tasks.
+
+    Lines are read in splits. A line lies inside a quoted field if an odd number of quotes stands before it, so each
+    split only needs the quotes of the splits before it: their counts are a row per split, summed in order per file.
+    A record goes from a line outside quotes to the next such line and belongs to the split that it begins in; lines
+    of a later split that go on with it are sent there. Records are put together by groups of their own few lines.
+
+    The first record of each file is its header. A record that does not parse keeps its text in ``_corrupt``.
+    Exports use doubled quotes inside quoted fields; a quote within an unquoted field would open one.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    lines = lines.withColumn("quotes", quotes.cast("long"))
+    # splits in order: quotes before each, from a row per split
+    in_file = Window.partitionBy("file").orderBy("block")
+    before = F.coalesce(F.sum("quotes").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes")).select("file", "block", (before % 2).alias("odd"))
+    # a split has bounded size, so its lines can be numbered in one task
+    in_split = Window.partitionBy("file", "block").orderBy("at")
+    within = F.coalesce(F.sum("quotes").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    opened = lines.join(splits, ["file", "block"]).withColumn("starts", (F.col("odd") + within) % 2 == 0)
+    numbered = opened.withColumn("record", F.sum(F.col("starts").cast("long")).over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
+    # lines before the first start of a split belong to the last record of the nearest split before that has a start
+    counted = numbered.groupBy("file", "block").agg(F.max("record").alias("n"))
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    having = F.when(F.col("n") > 0, F.struct("block", "n"))
+    owners = counted.select("file", "block", F.last(having, ignorenulls=True).over(earlier).alias("owner"))
+    placed = numbered.join(owners, ["file", "block"]).select(
+        "file", F.when(F.col("record") > 0, F.col("block")).otherwise(F.coalesce("owner.block", "block")).alias("home"),
+        F.when(F.col("record") > 0, F.col("record")).otherwise(F.coalesce("owner.n", F.lit(0))).alias("record"), "block", "at", "line")
+    records = placed.groupBy("file", "home", "record").agg(F.sort_array(F.collect_list(F.struct("block", "at", "line"))).alias("parts")).select(
+        "file", "home", "record", F.regexp_replace(F.array_join(F.transform("parts", lambda p: p["line"]), "\n"), "\r\\z", "").alias("text"))
+    header = records.groupBy("file").agg(F.min(F.struct("home", "record")).alias("first"))
+    body = records.join(header, "file").filter(F.struct("home", "record") != F.col("first")).filter(F.trim("text") != "")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CHAT_CSV)
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "multiLine": "true"}
+    return body.select(F.from_csv("text", schema, options).alias("row")).select("row.*")
+
+
 def write_chat_csv(messages: DataFrame, path: str) -> None:
     messages.select(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Date"),
@@ -74,7 +116,7 @@ def scan_messages(spark: SparkSession, path: str, room: str | None = None, perio
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Names and times below a folder; contents are not read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "path", F.col("modificationTime").alias("mtime")
+        F.element_at(F.split("path", "/"), -1).alias("name"), "path", F.col("modificationTime").alias("mtime"), F.col("length").alias("size")
     )
 
 
