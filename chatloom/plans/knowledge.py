@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions.vectors import decode_embedding, encode_embedding
@@ -78,6 +78,33 @@ def chunks_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kb.source_violations(store.read_chunks(spark, path))
 
 
+_SPACES_SQL = "trim(regexp_replace({0}, '[\\s\\p{{Z}}\\x0b\\x1c-\\x1f\\x85]+', ' ', 'g'))"
+
+
+@query("rendered_chunks", f"""
+WITH blocks AS (
+  SELECT doc_id AS page_id, 'intro' AS heading_path, {_SPACES_SQL.format("'about ' || source")} AS text FROM documents UNION ALL
+  SELECT doc_id, 'intro > ' || lang, {_SPACES_SQL.format('text')} FROM documents UNION ALL
+  SELECT doc_id, 'intro > end', unnest(['item ' || doc_id, 'last']) FROM documents),
+pieces AS (
+  SELECT *, unnest(range(0, greatest((length(text) - 1) // 700, 0) + 1)) AS piece FROM blocks WHERE text <> '')
+SELECT page_id, heading_path, piece::INTEGER AS piece, md5(substr(text, (piece * 700 + 1)::INTEGER, 700)) AS digest FROM pieces""")
+def rendered_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages made from whole documents, with known headings and blocks, cut into chunks."""
+    def esc(c: Column) -> Column:
+        for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            c = F.replace(c, F.lit(raw), F.lit(safe))
+        return c
+
+    c = F.concat
+    html = c(
+        F.lit("<!doctype html><html><head><style>p {}</style></head><body><h1>intro</h1><p>about <b>"), esc(F.col("source")),
+        F.lit("</b></p><script>no('p')</script><h2>"), esc(F.col("lang")), F.lit("</h2><div><p>"), esc(F.col("text")),
+        F.lit("</p></div><h2>end</h2><ul><li>item "), F.col("doc_id").cast("string"), F.lit("<li>last</ul></body></html>"))
+    pages = derive.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+    return kb.chunk_pages(pages, 700).select("page_id", "heading_path", F.col("piece").cast("int").alias("piece"), F.md5("text").alias("digest"))
+
+
 @query("chat_chunks", """
 WITH n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations)
 SELECT conv_id, (i - 1) // 4 AS chunk_no, md5(string_agg(text, chr(10) ORDER BY i)) AS digest,

@@ -366,6 +366,22 @@ def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pending(spark, sf_dir).select("room_id", F.col("nfc_name").alias("name"), stamp("mtime").alias("mtime"))
 
 
+@query("pending_on_disk", f"""
+WITH {MSG_SQL}, rooms AS (SELECT room_id, count(*) AS n_messages FROM msg GROUP BY ALL)
+SELECT room_id, n_messages FROM rooms WHERE substr(room_id, 2)::BIGINT % 3 <> 0""")
+def pending_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of real exports, one per room: listed, those done before left out, the rest read."""
+    path = scratch_dir(spark, "exports")
+    rows = derive.messages(spark, sf_dir).select("room_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Date"), F.col("nickname").alias("User"), F.col("text").alias("Message"))
+    rows.repartition("room_id").write.option("header", True).option("escape", '"').option("quoteAll", True).partitionBy("room_id").csv(path)
+    files = chat.list_files(spark, path).withColumn("room_id", F.regexp_extract("path", "room_id=([^/]+)/", 1))
+    done = files.filter(F.substring("room_id", 2, 20).cast("bigint") % 3 == 0).select("room_id", "name")
+    pending = chat.pending_files(files, done, ["room_id"]).select("room_id", "name")
+    read = chat.read_chat_csv(spark, f"{path}/*").withColumn("name", F.element_at(F.split("_metadata.file_path", "/"), -1)) \
+        .withColumn("room_id", F.regexp_extract("_metadata.file_path", "room_id=([^/]+)/", 1))
+    return read.join(pending, ["room_id", "name"], "left_semi").groupBy("room_id").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
 @query("newest_files", f"""
 WITH {_FILES_SQL}
 SELECT room_id, arg_max(name, mtime) AS name, {STAMP_SQL.format('max(mtime)')} AS mtime, count(*) AS n_pending
