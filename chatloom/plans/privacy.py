@@ -131,6 +131,7 @@ def owner_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- scans of whole documents ----------------------------------------------------------------------
 # RE2 has no look-around: a neighbour class stands in, which is equal for yes/no.
 
+# The contract's patterns once more, in the dialect of the oracle, which has no look-around.
 _D, _E = r"(?:^|[^0-9])", r"(?:[^0-9]|$)"
 _START = r"(?:^|[\s(''\"])"
 PHONE_CORE = r"(?:(?:\+?82[- .]?(?:0[- .]?)?)|0|\(0)(?:1[016789]|2|[3-6][1-5]|70|50[0-9])\)?[- .]?[0-9]{3,4}[- .]?[0-9]{4}"
