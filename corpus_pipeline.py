@@ -1,7 +1,7 @@
 """From raw documents to training text: five stages, each over all that its predecessor kept.
 
-Cases: a row with a null or empty text scores as clean, links with nothing, holds no words and no secrets, and has no
-tokens, so it passes all stages. Rows are told apart by id and text: a null id is judged by its text like any other,
+Cases: a row with a null or empty text is scored as a text without words; unless that score rejects it, it passes all
+stages, as it links with nothing, holds no words and no secrets, and has no tokens. Rows are told apart by id and text: a null id is judged by its text like any other,
 and of equal rows one stays. Very long texts are judged whole in every stage. An empty table gives an empty result.
 Without labels of both classes nothing is rejected as toxic.
 """
