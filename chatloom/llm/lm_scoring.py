@@ -145,55 +145,80 @@ def symbols(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return packed, owner
 
 
-def _nodes(key: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """For symbols, (symbol x 8) nodes of a depth, as context * 256 + bit prefix, and the bits that follow."""
-    byte, context = key & 0xFF, (key >> 8) & ((1 << (8 * depth)) - 1)
-    level = np.arange(8)
-    prefix = (1 << level) | (byte[:, None] >> (8 - level))
-    return (context[:, None] << 8) | prefix, (byte[:, None] >> (7 - level)) & 1
-
-
 class Subtrees:
-    """All nodes of depth 2 to DEPTH over some symbols with counts: their estimates and weights."""
+    """All nodes of depth 2 to DEPTH over distinct symbols with counts: their estimates and weights.
+
+    A node is a run of the symbols sorted by context and byte: those that share the context bytes of its depth and the
+    first bits of the byte. One sort a depth finds the nodes of its eight levels. Symbols with count 0, which only texts
+    outside of training have, make nodes without counts; these weigh nothing.
+    """
 
     def __init__(self, key: np.ndarray, n: np.ndarray) -> None:
-        key, n = key[n > 0], n[n > 0]
-        self.nodes, self.a, self.b, self.log, self.leaf = {}, {}, {}, {}, {}
-        below = below_log = None
+        self.key = key
+        #: per depth: its symbols, where each of ``key`` is among them, and per level (run starts, run of each, zeros, ones, log, leaf weight)
+        self.depths: dict[int, tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, ...]]]] = {}
+        here, times, at = key, n.astype(np.float64), np.arange(len(key))
         for depth in range(DEPTH, 1, -1):
-            node, bit = _nodes(key, depth)
-            found, back = np.unique(node.ravel(), return_inverse=True)
-            times = np.repeat(n, 8).astype(np.float64)
-            ones = np.bincount(back, times * bit.ravel(), len(found))
-            zeros = np.bincount(back, times, len(found)) - ones
-            own = log_estimate(zeros, ones)
-            if below is None:
-                log, leaf = own, np.ones(len(found))
-            else:
-                # a child's parent drops the farthest context byte
-                parent = ((below >> 8) & ((1 << (8 * depth)) - 1)) << 8 | (below & 0xFF)
-                split = np.bincount(np.searchsorted(found, parent), below_log, len(found))
-                log = np.logaddexp(_HALF + own, _HALF + split)
-                leaf = np.exp(_HALF + own - log)
-            self.nodes[depth], self.a[depth], self.b[depth], self.log[depth], self.leaf[depth] = found, zeros, ones, log, leaf
-            below, below_log = found, log
-
-    def predict(self, key: np.ndarray, top: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+            here, back = np.unique(here & ((1 << (8 * depth + 8)) - 1), return_inverse=True)
+            times, at = np.bincount(back, times, len(here)), back[at]
+            levels = []
+            for level in range(8):
+                prefix = here >> (8 - level)
+                starts = np.concatenate([[True], prefix[1:] != prefix[:-1]])
+                first, run = np.flatnonzero(starts), np.cumsum(starts) - 1
+                ones = np.add.reduceat(times * ((here >> (7 - level)) & 1), first)
+                zeros = np.add.reduceat(times, first) - ones
+                log, leaf = log_estimate(zeros, ones), np.ones(len(first))
+                if depth < DEPTH:
+                    # a child's parent drops the farthest context byte
+                    child_first, _, _, _, child_log, _ = self.depths[depth + 1][2][level]
+                    own, split = _HALF + log, _HALF + np.bincount(run[back[child_first]], child_log, len(first))
+                    log = np.logaddexp(own, split)
+                    leaf = np.exp(own - log)
+                levels.append((first, run, zeros, ones, log, leaf))
+            self.depths[depth] = here, at, levels
+
+    def upper(self) -> tuple[np.ndarray, ...]:
+        """(node, zeros, ones, sum of the logs) of the seen nodes of depth 2, by their parent of depth 1."""
+        here, _, levels = self.depths[2]
+        nodes = np.concatenate([(here[x[0]] & 0xFF00) | _prefix(here[x[0]], level) for level, x in enumerate(levels)])
+        zeros, ones, logs = (np.concatenate([x[k] for x in levels]) for k in (2, 3, 4))
+        found, back = np.unique(nodes, return_inverse=True)
+        zeros, ones, logs = (np.bincount(back, x, len(found)) for x in (zeros, ones, logs))
+        seen = zeros + ones > 0
+        return found[seen], zeros[seen], ones[seen], logs[seen]
+
+    def predict(self, top: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """Log probability (base 10) of each symbol's byte after its context. ``top``: see ``tops``."""
-        p = np.full((len(key), 8), np.nan)
-        for depth in range(DEPTH, -1, -1):
-            node, bit = _nodes(key, depth)
-            if depth >= 2:
-                found = self.nodes[depth]
-                at = np.minimum(np.searchsorted(found, node), max(0, len(found) - 1))
-                seen = found[at] == node if len(found) else np.zeros(node.shape, bool)
-                a, b, leaf = (x[depth][at] if len(found) else np.zeros(node.shape) for x in (self.a, self.b, self.leaf))
-            else:
-                a, b, leaf = np.moveaxis(top[depth][node if depth else node & 0xFF], -1, 0)
-                seen = a + b > 0
-            own = (np.where(bit == 1, b, a) + 0.5) / (a + b + 1)
-            p = np.where(seen, np.where(np.isnan(p), own, leaf * own + (1 - leaf) * p), p)
-        return np.log10(np.where(np.isnan(p), 0.5, p)).sum(axis=1)
+        total = np.zeros(len(self.key))
+        for level in range(8):
+            p = np.full(len(self.key), np.nan)
+            for depth in range(DEPTH, 1, -1):
+                here, at, levels = self.depths[depth]
+                _, run, zeros, ones, _, leaf = levels[level]
+                p = _mixed(p, *(x[at] for x in (*_own(here, level, zeros[run], ones[run]), leaf[run])))
+            prefix = _prefix(self.key, level)
+            for nodes, table_ in (((self.key & 0xFF00) | prefix, top[1]), (prefix, top[0])):
+                zeros, ones, leaf = table_[nodes].T
+                p = _mixed(p, *_own(self.key, level, zeros, ones), leaf)
+            total += np.log10(np.where(np.isnan(p), 0.5, p))
+        return total
+
+
+def _prefix(key: np.ndarray, level: int) -> np.ndarray:
+    """The first ``level`` bits of a symbol's byte after a one."""
+    return (1 << level) | ((key & 0xFF) >> (8 - level))
+
+
+def _own(key: np.ndarray, level: int, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A node's estimate for the bit of each symbol, and whether training has seen the node."""
+    n = zeros + ones
+    return (np.where((key >> (7 - level)) & 1 == 1, ones, zeros) + 0.5) / (n + 1), n > 0
+
+
+def _mixed(deeper: np.ndarray, own: np.ndarray, seen: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """Deeper predictions, not a number where there is none, mixed with those of seen nodes."""
+    return np.where(seen, np.where(np.isnan(deeper), own, leaf * own + (1 - leaf) * deeper), deeper)
 
 
 def tops(one: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -255,12 +280,12 @@ def symbol_counts(vocabulary: DataFrame) -> DataFrame:
 
 def symbol_logs(counted: DataFrame) -> DataFrame:
     """``(key, log)``: the model's log10 probability of every symbol. ``counted`` is read twice."""
-    buckets = max(4, math.ceil(counted.count() / SYMBOLS_A_BUCKET))
+    buckets = max(16, math.ceil(counted.count() / SYMBOLS_A_BUCKET))
     bucketed = counted.withColumn("bucket", F.pmod(F.xxhash64(F.expr("shiftright(key, 8) & 65535")), F.lit(buckets)).cast("int"))
 
     def upper(part: pd.DataFrame) -> pd.DataFrame:
-        t = Subtrees(part["key"].to_numpy(), part["n"].to_numpy())
-        return pd.DataFrame({"node": t.nodes[2] & 0xFFFF, "a": t.a[2], "b": t.b[2], "split": t.log[2]})
+        found = Subtrees(part["key"].to_numpy(), part["n"].to_numpy()).upper()
+        return pd.DataFrame(dict(zip(("node", "a", "b", "split"), found, strict=True)))
 
     one = bucketed.groupBy("bucket").applyInPandas(upper, "node long, a double, b double, split double")
     one = one.groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("split").alias("split"))
@@ -268,9 +293,7 @@ def symbol_logs(counted: DataFrame) -> DataFrame:
 
     def predicted(part: pd.DataFrame) -> pd.DataFrame:
         key = part["key"].to_numpy()
-        trees = Subtrees(key, part["n"].to_numpy())
-        logs = [trees.predict(key[at:at + 50_000], sent.value) for at in range(0, len(key), 50_000)]
-        return pd.DataFrame({"key": key, "log": np.concatenate(logs)})
+        return pd.DataFrame({"key": key, "log": Subtrees(key, part["n"].to_numpy()).predict(sent.value)})
 
     return bucketed.groupBy("bucket").applyInPandas(predicted, "key long, log double")
 

@@ -18,26 +18,75 @@ BLANKS = r"[^\x20\x09-\x0D]+"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+class PlainTree:
+    """Context-tree weighting one bit at a time over dictionaries, with the context bytes nearest first."""
+
+    def __init__(self):
+        self.n = defaultdict(lambda: [0, 0])
+        self.below = defaultdict(set)
+        self.kept = {}
+
+    def see(self, context, prefix, bit):
+        for depth in range(len(context) + 1):
+            self.n[context[:depth], prefix][bit] += 1
+            if depth:
+                self.below[context[:depth - 1], prefix].add(context[:depth])
+
+    def logs(self, context, prefix):
+        """Logs of a node's own estimate and of its weighted probability."""
+        if (context, prefix) not in self.kept:
+            zeros, ones = self.n[context, prefix]
+            own = math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.log(math.pi) - math.lgamma(zeros + ones + 1)
+            children = self.below.get((context, prefix))
+            if children:
+                other = sum(self.logs(c, prefix)[1] for c in children)
+                high = max(own, other)
+                self.kept[context, prefix] = own, high + math.log((math.exp(own - high) + math.exp(other - high)) / 2)
+            else:
+                self.kept[context, prefix] = own, own
+        return self.kept[context, prefix]
+
+    def probability(self, context, prefix, bit, depth=0):
+        if (context[:depth], prefix) not in self.n:
+            return None
+        counts = self.n[context[:depth], prefix]
+        own = (counts[bit] + 0.5) / (sum(counts) + 1)
+        deeper = self.probability(context, prefix, bit, depth + 1) if depth < len(context) else None
+        if deeper is None:
+            return own
+        log_own, log_all = self.logs(context[:depth], prefix)
+        leaf = math.exp(log_own - log_all) / 2
+        return leaf * own + (1 - leaf) * deeper
+
+
+def coded_bits(text):
+    """(five bytes before, nearest first; bits of the byte so far after a one; next bit) of every bit that codes a text."""
+    before = b""
+    for word in [*re.findall(rb"[^ \t-\r]+", (text or "").translate(LOWER).encode()), None]:
+        whole = bytes(5) + before + b" " + (b"\n" if word is None else word + b" ")
+        for at in range(6 + len(before), len(whole)):
+            prefix = 1
+            for shift in range(7, -1, -1):
+                bit = whole[at] >> shift & 1
+                yield whole[at - 5:at][::-1], prefix, bit
+                prefix = 2 * prefix + bit
+        before = b"" if word is None else word[-2:]
+
+
 def brute_scores(rows):
-    """The contract's counts and the model from one set of trees."""
-    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
-    count, found = Counter(), Counter()
-    for text in train:
-        words = lm_scoring.tokens(text)
-        count.update([*words, b""])
-        found.update(lm_scoring.units(words) + lm_scoring.heads(words))
+    """The contract's counts, and the model by its definition."""
+    tree, count = PlainTree(), Counter()
+    for i, text in rows:
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            count.update([*re.findall(BLANKS, (text or "").translate(LOWER)), None])
+            for at in coded_bits(text):
+                tree.see(*at)
     total, distinct = sum(count.values()), len(count)
-    key, owner = lm_scoring.symbols(list(found))
-    n = np.array(list(found.values()))[owner]
-    keys, back = np.unique(key, return_inverse=True)
-    trees = lm_scoring.Subtrees(keys, np.bincount(back, n).astype(np.int64))
-    one = pd.DataFrame({"node": trees.nodes[2] & 0xFFFF, "a": trees.a[2], "b": trees.b[2], "split": trees.log[2]}).groupby("node").sum().reset_index()
-    top = lm_scoring.tops(one)
     for i, text in rows:
-        words = lm_scoring.tokens(text)
-        base = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in [*words, b""])
-        key, _ = lm_scoring.symbols(lm_scoring.units(words) + lm_scoring.heads(words))
-        yield i, len(words) + 1, sum(count[w] > 0 for w in [*words, b""]), total, base, trees.predict(key, top).sum()
+        found = [*re.findall(BLANKS, (text or "").translate(LOWER)), None]
+        base = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in found)
+        log = sum(math.log10(tree.probability(*at) or 0.5) for at in coded_bits(text))
+        yield i, len(found), sum(count[w] > 0 for w in found), total, base, log
 
 
 def score(docs):
@@ -45,8 +94,10 @@ def score(docs):
     return lm_scoring.score_texts(docs.select("doc_id", held.alias("held_out"), "text").withColumn("train", ~F.col("held_out")), "train")
 
 
-def test_scores_against_one_set_of_trees(small):
-    docs = small["documents"].limit(60)
+def test_scores_against_plain_trees(spark, small):
+    odd_texts = [(1_000_001, None), (1_000_002, ""), (1_000_003, "Zürich x"), (1_000_004, "unseenwordsonly \u65e5\u672c"), (1_000_004, "unseenwordsonly \u65e5\u672c")]
+    docs = small["documents"].select("doc_id", "text").limit(25)
+    docs = spark.createDataFrame([*map(tuple, docs.collect()), *odd_texts], "doc_id long, text string")
     got = {r.doc_id: r for r in score(docs).collect()}
     for i, n, known, total, base, log in brute_scores([(r.doc_id, r.text) for r in docs.collect()]):
         r = got[i]
@@ -59,11 +110,13 @@ def test_probabilities_of_all_bytes_sum_to_one():
     found = Counter(u for w in words for u in lm_scoring.units(w) + lm_scoring.heads(w))
     key, owner = lm_scoring.symbols(list(found))
     keys, back = np.unique(key, return_inverse=True)
-    trees = lm_scoring.Subtrees(keys, np.bincount(back, np.array(list(found.values()))[owner]).astype(np.int64))
-    one = pd.DataFrame({"node": trees.nodes[2] & 0xFFFF, "a": trees.a[2], "b": trees.b[2], "split": trees.log[2]}).groupby("node").sum().reset_index()
+    counts = dict(zip(keys.tolist(), np.bincount(back, np.array(list(found.values()))[owner]).astype(int).tolist(), strict=True))
     for context in (keys[0] >> 8, keys[-1] >> 8, 0x7A7A7A7A7A):
-        log = trees.predict((np.int64(context) << 8) | np.arange(256), lm_scoring.tops(one))
-        assert abs((10**log).sum() - 1) < 1e-9
+        every = np.array(sorted({*counts, *range(int(context) << 8, (int(context) << 8) + 256)}), np.int64)
+        trees = lm_scoring.Subtrees(every, np.array([counts.get(k, 0) for k in every.tolist()]))
+        one = pd.DataFrame(dict(zip(("node", "a", "b", "split"), trees.upper(), strict=True)))
+        log = trees.predict(lm_scoring.tops(one))[every >> 8 == context]
+        assert len(log) == 256 and abs((10**log).sum() - 1) < 1e-9
 
 
 def test_scores_of_odd_rows(odd, none):
