@@ -9,9 +9,11 @@ offset is summed within chunks of ``CHUNK`` turn numbers and shifted by the sums
 dialogue is gathered in one task. Concatenating ``rendered`` by ``start`` gives the training text.
 
 Cases: a null role is the speaker ``unknown``; a null text is empty; null turns come first. Rows without a dialogue id
-form one dialogue. Ties within a turn are ordered by role and text, and repeated rows are rendered one after the
-other. A dialogue with system turns only has no perspective. Marks inside texts are defused, so a text cannot open or
-close a turn. Extra columns are not part of the result.
+form one dialogue. Speakers of a dialogue whose names differ only in characters that a name cannot keep are told apart
+by a number after a dot. Very long texts are rendered whole. Ties within a turn are ordered by role and text, and
+repeated rows are rendered one after the other. A dialogue with system turns only has no perspective; an empty table
+gives an empty one. Marks inside texts are defused, so a text cannot open or close a turn. Extra columns are not part
+of the result.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ CHUNK = 512
 
 
 def _name(role: Column) -> Column:
-    """Names keep letters, digits, ``_`` and ``-``."""
-    return F.regexp_replace(role, r"[^A-Za-z0-9_-]", "_")
+    """Names keep letters, marks and digits of all scripts, ``_`` and ``-``."""
+    return F.regexp_replace(role, r"[^\p{L}\p{M}\p{N}_-]", "_")
 
 
 def rotate(
@@ -40,9 +42,15 @@ def rotate(
         F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("< |")).alias("said"),
     )
     people = said.filter(~F.col("speaker").isin(*SYSTEM_ROLES)).select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective")).distinct()
+    # speakers of a dialogue whose names come out equal are numbered; no name has a dot of its own
+    alike = F.row_number().over(Window.partitionBy("p", "name").orderBy("named"))
+    names = people.select(F.col("c").alias("p"), F.col("perspective").alias("named"), _name(F.col("perspective")).alias("name"))
+    names = names.withColumn("alike", alike).select(
+        "p", "named", F.concat("name", F.when(F.col("alike") > 1, F.concat(F.lit("."), F.col("alike").cast("string"))).otherwise("")).alias("name"))
+    said = said.join(names, F.col("conv_id").eqNullSafe(F.col("p")) & (F.col("speaker") == F.col("named")), "left")
     own = F.col("speaker") == F.col("perspective")
     chat_role = F.when(F.col("speaker").isin(*SYSTEM_ROLES), "system").when(own, "assistant").otherwise("user")
-    head = F.concat(F.lit(OPEN), chat_role, F.when(chat_role == "user", F.concat(F.lit(" name="), _name(F.col("speaker")))).otherwise(""), F.lit("\n"))
+    head = F.concat(F.lit(OPEN), chat_role, F.when(chat_role == "user", F.concat(F.lit(" name="), F.col("name"))).otherwise(""), F.lit("\n"))
     seen = said.join(people, F.col("conv_id").eqNullSafe(F.col("c"))).select(
         "conv_id", "perspective", "turn", "speaker", chat_role.alias("chat_role"), F.length(head).alias("head"),
         F.concat(head, F.col("said"), F.lit(CLOSE)).alias("rendered"),
@@ -74,12 +82,15 @@ ORACLE_SQL = r"""
 WITH s AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS said FROM conversations),
 p AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM s WHERE speaker <> 'system'),
+n AS (
+  SELECT c AS p, perspective AS named, regexp_replace(perspective, '[^\p{L}\p{M}\p{N}_-]', '_', 'g') AS name FROM p),
+k AS (SELECT *, row_number() OVER (PARTITION BY p, name ORDER BY named) AS alike FROM n),
 r AS (
-  SELECT conv_id, perspective, turn, speaker, said,
+  SELECT conv_id, perspective, turn, speaker, said, name || CASE WHEN alike > 1 THEN '.' || alike ELSE '' END AS name,
     CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS chat_role
-  FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.c),
+  FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.c LEFT JOIN k ON s.conv_id IS NOT DISTINCT FROM k.p AND speaker = named),
 h AS (
-  SELECT *, '<|im_start|>' || chat_role || CASE WHEN chat_role = 'user' THEN ' name=' || regexp_replace(speaker, '[^A-Za-z0-9_-]', '_', 'g') ELSE '' END
+  SELECT *, '<|im_start|>' || chat_role || CASE WHEN chat_role = 'user' THEN ' name=' || name ELSE '' END
     || chr(10) AS head FROM r),
 t AS (SELECT *, head || said || '<|im_end|>' || chr(10) AS rendered FROM h),
 o AS (

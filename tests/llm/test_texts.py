@@ -167,6 +167,14 @@ def test_chat_of_odd_rows(spark):
     assert chat_format.rotate(turns.filter("false")).count() == 0
 
 
+def test_names_of_speakers_stay_apart(spark):
+    rows = [(1, 0, "가나", "a"), (1, 1, "다라", "b"), (1, 2, "x y", "c"), (1, 3, "x?y", "d"), (1, 4, "x_y", "e"), (2, 0, "x?y", "f"), (2, 1, "ann", "g")]
+    got = chat_format.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    heads = {(r.conv_id, r.speaker): r.rendered.split("\n")[0] for r in got.filter("chat_role = 'user'").collect()}
+    assert {k: v.split("name=")[1] for k, v in heads.items()} == {
+        (1, "가나"): "가나", (1, "다라"): "다라", (1, "x y"): "x_y", (1, "x?y"): "x_y.2", (1, "x_y"): "x_y.3", (2, "x?y"): "x_y", (2, "ann"): "ann"}
+
+
 def test_a_long_text_takes_no_place_from_others():
     chosen = [("long", 1), *((i, i % 2) for i in range(60))]
     sizes = {"long": 900, **{i: 10 for i in range(60)}}
