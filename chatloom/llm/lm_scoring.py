@@ -155,36 +155,43 @@ class Subtrees:
 
     def __init__(self, key: np.ndarray, n: np.ndarray) -> None:
         self.key = key
-        #: per depth: its symbols, where each of ``key`` is among them, and per level (run starts, run of each, zeros, ones, log, leaf weight)
-        self.depths: dict[int, tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, ...]]]] = {}
+        #: per depth: its symbols, their counts, where each of one depth more is among them, and where each of ``key``
+        self.depths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         here, times, at = key, n.astype(np.float64), np.arange(len(key))
         for depth in range(DEPTH, 1, -1):
             here, back = np.unique(here & ((1 << (8 * depth + 8)) - 1), return_inverse=True)
             times, at = np.bincount(back, times, len(here)), back[at]
-            levels = []
-            for level in range(8):
-                prefix = here >> (8 - level)
-                starts = np.concatenate([[True], prefix[1:] != prefix[:-1]])
-                first, run = np.flatnonzero(starts), np.cumsum(starts) - 1
-                ones = np.add.reduceat(times * ((here >> (7 - level)) & 1), first)
-                zeros = np.add.reduceat(times, first) - ones
-                log, leaf = log_estimate(zeros, ones), np.ones(len(first))
-                if depth < DEPTH:
-                    # a child's parent drops the farthest context byte
-                    child_first, _, _, _, child_log, _ = self.depths[depth + 1][2][level]
-                    own, split = _HALF + log, _HALF + np.bincount(run[back[child_first]], child_log, len(first))
-                    log = np.logaddexp(own, split)
-                    leaf = np.exp(own - log)
-                levels.append((first, run, zeros, ones, log, leaf))
-            self.depths[depth] = here, at, levels
+            self.depths[depth] = here, times, back, at
+
+    def nodes(self, level: int) -> dict[int, tuple[np.ndarray, ...]]:
+        """Per depth the nodes of one bit: (first symbol of each, node of each symbol, zeros, ones, log, leaf weight)."""
+        found: dict[int, tuple[np.ndarray, ...]] = {}
+        for depth in range(DEPTH, 1, -1):
+            here, times, back, _ = self.depths[depth]
+            prefix = here >> (8 - level)
+            starts = np.concatenate([[True], prefix[1:] != prefix[:-1]])
+            first, run = np.flatnonzero(starts), np.cumsum(starts) - 1
+            ones = np.add.reduceat(times * ((here >> (7 - level)) & 1), first)
+            zeros = np.add.reduceat(times, first) - ones
+            log, leaf = log_estimate(zeros, ones), np.ones(len(first))
+            if depth < DEPTH:
+                # a child's parent drops the farthest context byte
+                children = found[depth + 1]
+                own, split = _HALF + log, _HALF + np.bincount(run[back[children[0]]], children[4], len(first))
+                log = np.logaddexp(own, split)
+                leaf = np.exp(own - log)
+            found[depth] = first, run, zeros, ones, log, leaf
+        return found
 
     def upper(self) -> tuple[np.ndarray, ...]:
         """(node, zeros, ones, sum of the logs) of the seen nodes of depth 2, by their parent of depth 1."""
-        here, _, levels = self.depths[2]
-        nodes = np.concatenate([(here[x[0]] & 0xFF00) | _prefix(here[x[0]], level) for level, x in enumerate(levels)])
-        zeros, ones, logs = (np.concatenate([x[k] for x in levels]) for k in (2, 3, 4))
-        found, back = np.unique(nodes, return_inverse=True)
-        zeros, ones, logs = (np.bincount(back, x, len(found)) for x in (zeros, ones, logs))
+        here, parts = self.depths[2][0], []
+        for level in range(8):
+            first, _, zeros, ones, log, _ = self.nodes(level)[2]
+            parts.append(((here[first] & 0xFF00) | _prefix(here[first], level), zeros, ones, log))
+        node, *sums = (np.concatenate(x) for x in zip(*parts, strict=True))
+        found, back = np.unique(node, return_inverse=True)
+        zeros, ones, logs = (np.bincount(back, x, len(found)) for x in sums)
         seen = zeros + ones > 0
         return found[seen], zeros[seen], ones[seen], logs[seen]
 
@@ -193,9 +200,8 @@ class Subtrees:
         total = np.zeros(len(self.key))
         for level in range(8):
             p = np.full(len(self.key), np.nan)
-            for depth in range(DEPTH, 1, -1):
-                here, at, levels = self.depths[depth]
-                _, run, zeros, ones, _, leaf = levels[level]
+            for depth, (_, run, zeros, ones, _, leaf) in self.nodes(level).items():
+                here, at = self.depths[depth][0], self.depths[depth][3]
                 p = _mixed(p, *(x[at] for x in (*_own(here, level, zeros[run], ones[run]), leaf[run])))
             prefix = _prefix(self.key, level)
             for nodes, table_ in (((self.key & 0xFF00) | prefix, top[1]), (prefix, top[0])):
