@@ -63,16 +63,21 @@ _HANGUL = "가-힣"
 _ENDINGS = "(?:" + "|".join(sorted((*fixed.PARTICLES, *fixed.NAME_ENDINGS), key=len, reverse=True)) + ")"
 
 
+#: Three endings follow a name at most.
+_LONGEST_TAIL = 3 * max(map(len, (*fixed.PARTICLES, *fixed.NAME_ENDINGS)))
+
+
 def candidate_words(col: Column) -> Column:
-    """Words of a text, as they stand and with one to three particles or honorifics taken off the end."""
+    """Words of a text, as they stand and without what could be endings: Hangul words, by up to three endings' length.
+
+    Whether known endings make up the rest is tested only where a name has been found.
+    """
     words = F.array_distinct(F.regexp_extract_all(col, F.lit(WORD), F.lit(0)))
-    cut = F.sequence(F.lit(1), F.lit(3))
 
     def forms(word: Column) -> Column:
-        """Endings are Hangul, so other words have one form only."""
-        shorter = F.aggregate(
-            cut, F.array(word), lambda seen, _: F.concat(seen, F.array(F.regexp_replace(F.element_at(seen, -1), F.lit(_ENDINGS + r"\z"), F.lit("")))))
-        return F.when(F.substring(word, -1, 1).between("가", "힣"), shorter).otherwise(F.array(word))
+        heads = F.sequence(F.greatest(F.lit(1), F.length(word) - _LONGEST_TAIL), F.length(word))
+        return F.when(
+            F.substring(word, -1, 1).between("가", "힣"), F.transform(heads, lambda n: F.substr(word, F.lit(1), n))).otherwise(F.array(word))
 
     return F.filter(F.array_distinct(F.flatten(F.transform(words, forms))), lambda w: w != "")
 

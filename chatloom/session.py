@@ -21,6 +21,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .appName("chatloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # small inputs: rows that are dear to compute are not put into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CHATLOOM_DRIVER_MEMORY", "8g"))
