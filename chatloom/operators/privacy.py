@@ -98,8 +98,9 @@ def apply_pseudonyms(
         "word", F.regexp_extract("nickname", WORD, 0)
     )
     words = rows.select(*keys, id_col, F.explode(candidate_words(F.col(text_col))).alias("word"))
-    by_word = words.join(roster.filter("word <> ''"), [*keys, "word"]).drop("word")
-    by_room = rows.select(*keys, id_col).join(roster.filter("word = ''").drop("word"), keys)
+    # sizes on disk tell nothing of words and names made from them: joined by a merge, no side passes through the driver
+    by_word = words.join(roster.filter("word <> ''").hint("merge"), [*keys, "word"]).drop("word")
+    by_room = rows.select(*keys, id_col).join(roster.filter("word = ''").drop("word").hint("merge"), keys)
     found = (
         by_word.unionByName(by_room)
         .groupBy(*keys, id_col)
@@ -118,7 +119,7 @@ def apply_pseudonyms(
         return F.regexp_replace(acc, quoted, name["pseudonym"])
 
     return (
-        rows.join(found, [*keys, id_col], "left")
+        rows.join(found.hint("merge"), [*keys, id_col], "left")
         .withColumn(text_col, F.when(
             F.col("names").isNotNull(), F.aggregate("names", F.col(text_col), swap)
         ).otherwise(F.col(text_col)))

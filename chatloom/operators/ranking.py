@@ -29,7 +29,7 @@ def running_number(
     same = reduce(lambda a, b: a & b, [F.equal_null(F.col(k), F.col(f"_b_{k}")) for k in [*keys, "_slice"]])
     inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
     return (
-        sliced.withColumn("_inside", inside).join(before, same)
+        sliced.withColumn("_inside", inside).join(before.hint("merge"), same)  # slices grow with the rows: never broadcast
         .withColumn(name, (F.col("_before") + F.col("_inside")).cast("bigint"))
         .drop("_slice", "_inside", "_before", *[f"_b_{k}" for k in [*keys, "_slice"]])
     )
