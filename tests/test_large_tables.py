@@ -1,10 +1,15 @@
 """Queries against their SQL on rows as only larger tables have them: long documents, ids of later revisions."""
 
 import duckdb
+import pyarrow as pa
 import pytest
 from compare import compare
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from chatloom.operators import privacy
+from chatloom.operators.ranking import running_number
+from chatloom.sources import html
 
 LONG = "\n".join(f"{i} " + "가나다라 " * 20 for i in range(900))  # beyond the bytes and the nodes of a document
 ROWS = [
@@ -27,3 +32,25 @@ def tables(spark, tmp_path_factory):
 def test_long_documents_and_late_revisions(spark, tables, name):
     folder, con = tables
     assert compare(spark, con, name, folder, entry.queries()[name], entry.oracle_sql()[name]) is None
+
+
+def test_names_in_texts_are_joined_without_the_driver(spark):
+    rows = spark.createDataFrame([("r", 1, "민수1이 말했다"), ("r", 2, "nobody")], "room_id string, message_id long, text string")
+    mapping = spark.createDataFrame([("r", "민수1", "A")], "room_id string, nickname string, pseudonym string")
+    hidden = privacy.apply_pseudonyms(rows, mapping, ["room_id"], "message_id", "text")
+    assert sorted(tuple(r) for r in hidden.select("message_id", "text").collect()) == [(1, "A이 말했다"), (2, "nobody")]
+    assert "Broadcast" not in hidden._jdf.queryExecution().optimizedPlan().toString() + hidden._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_running_numbers_are_joined_without_the_driver(spark):
+    rows = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    numbered = running_number(rows, ["k"], F.floor(F.col("id") / 10), ["id"], "n")
+    assert "Broadcast" not in numbered._jdf.queryExecution().sparkPlan().toString()
+    assert sorted((r.k, r.n) for r in numbered.collect()) == sorted((i % 3, i // 3 + 1) for i in range(100))
+
+
+def test_large_pages_are_parsed_in_slices():
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(40)), "html": ["x" * 100_000] * 39 + [None]})
+    cut = list(html._slices(iter([batch, batch.slice(0, 0), batch.slice(3, 2)]), "html"))
+    assert pa.Table.from_batches(cut).column("page_id").to_pylist() == [*range(40), 3, 4]
+    assert max(b.num_rows for b in cut) <= 6
