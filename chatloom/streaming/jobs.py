@@ -150,8 +150,11 @@ def merge_batch(batch: DataFrame, target: str, horizon: int) -> None:
             return
         base = generations.current(spark, target)
         near = [d for d in base.parts if _near(d, days, horizon)]
+        if not near:  # nothing to compare with: the batch has won as it is, and its days are new
+            generations.replace(fresh, target, base, "day", days)
+            return
         old = generations.read(spark, target, schema, "day", base, near)
-        keys = fresh.select("room_id", "dedup_key").distinct()
+        keys = fresh.select("room_id", "dedup_key")  # each once
         same = F.col("room_id").eqNullSafe(F.col("k.room_id")) & (F.col("dedup_key") == F.col("k.dedup_key"))
         met = old.join(keys.select(F.struct("room_id", "dedup_key").alias("k")), same, "left_semi")
         # of equal rows the stored one wins, so that a repeated batch finds nothing to write
