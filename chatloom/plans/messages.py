@@ -244,13 +244,16 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {MSG_SQL}
 SELECT nickname, replace(text, ' ', chr(10) || '"') AS text, {STAMP_SQL.format('ts')} AS ts FROM msg""")
 def csv_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One export of all messages, their texts with line breaks and quotes, read in splits of a hundredth of it at most."""
+    """An export of all messages, their texts with line breaks and quotes, read in splits of a hundredth of it or 16 MB at most.
+
+    It has a file for each part of the table, so no task writes it alone; files are cut into splits like one large one.
+    """
     path = scratch_dir(spark, "csv")
     texts = derive.messages(spark, sf_dir).withColumn("text", F.replace("text", F.lit(" "), F.lit('\n"')))
-    chat.write_chat_csv(texts.coalesce(1), path)
+    chat.write_chat_csv(texts, path)
     size = chat.list_files(spark, path).agg(F.count(F.lit(1)), F.sum("size")).first()[1]
     sized = spark.newSession()
-    sized.conf.set("spark.sql.files.maxPartitionBytes", max(1 << 12, size // 100))
+    sized.conf.set("spark.sql.files.maxPartitionBytes", max(1 << 12, min(size // 100, 16 << 20)))
     sized.conf.set("spark.sql.session.timeZone", "UTC")
     rows = M.normalize_messages(chat.read_chat_csv_in_splits(sized, path).drop("_corrupt"), "csv")
     return rows.select("nickname", "text", stamp("ts").alias("ts"))
