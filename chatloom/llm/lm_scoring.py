@@ -21,7 +21,9 @@ stay; those named like a result are replaced.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -82,13 +84,14 @@ class Numbering:
         self.words: dict[bytes, int] = {}
         self.suffixes: dict[bytes, int] = {b"": 0}
         self.heads: dict[bytes, int] = {_END: 0}
-        self._of: list[tuple[int, int]] = []
+        #: per word its suffix and its head, packed in an integer
+        self._of = array("q")
 
-    def add(self, words: list[bytes]) -> None:
+    def add(self, words: Iterable[bytes]) -> None:
         for w in words:
             if w not in self.words:
                 self.words[w] = len(self.words)
-                self._of.append((self.suffixes.setdefault(w[-SUFFIX:], len(self.suffixes)), self.heads.setdefault((w + b" ")[:HEAD], len(self.heads))))
+                self._of.append(self.suffixes.setdefault(w[-SUFFIX:], len(self.suffixes)) << 32 | self.heads.setdefault((w + b" ")[:HEAD], len(self.heads)))
 
     def batches(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Words of runs of texts, by number, and the number of words of each text; a run has about ``_TOGETHER`` words."""
@@ -104,22 +107,23 @@ class Numbering:
             yield self._numbered(held), np.array(sizes, np.int64)
 
     def _numbered(self, words: list[bytes]) -> np.ndarray:
-        found = list(map(self.words.get, words))
-        if None in found:
-            self.add(words)
-            found = list(map(self.words.__getitem__, words))
-        return np.array(found, np.int32)
+        found = np.fromiter(map(self.words.get, words, repeat(-1)), np.int32, len(words))
+        new = np.flatnonzero(found < 0)  # most words are known, only the others are looked at one by one
+        if len(new):
+            missing = [words[i] for i in new.tolist()]
+            self.add(missing)
+            found[new] = list(map(self.words.__getitem__, missing))
+        return found
 
     def head_pairs(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """For every token, ends included: the suffix before it and its head, packed in an integer."""
-        of = np.array(self._of or [(0, 0)], np.int64)
-        suffix, head = np.zeros(len(words) + len(sizes), np.int64), np.zeros(len(words) + len(sizes), np.int64)
-        inside = np.ones(len(head), bool)
+        of = np.array(self._of, np.int64)
+        own, inside = np.zeros(len(words) + len(sizes), np.int64), np.ones(len(words) + len(sizes), bool)
         inside[np.cumsum(sizes + 1) - 1] = False
-        suffix[inside], head[inside] = of[words].T
-        before = np.zeros_like(suffix)
-        before[1:] = suffix[:-1]  # an end leaves nothing to the text after it
-        return before << 32 | head
+        own[inside] = of[words]
+        pairs = own & 0xFFFFFFFF
+        pairs[1:] |= own[:-1] & ~0xFFFFFFFF  # an end leaves nothing to the text after it
+        return pairs
 
 
 def symbols(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -247,11 +251,13 @@ def tops(one: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def block_units(docs: DataFrame) -> DataFrame:
     """``(block, unit, c)``: distinct units of each block of documents, with their occurrences in training ones."""
 
-    def work(part: pd.DataFrame) -> pd.DataFrame:
+    def work(part: pa.Table) -> pa.Table:
         numbering = Numbering()
         counts, met, times, n_texts = np.zeros(0, np.int64), [], [], 0
         for train in (True, False):
-            for words, sizes in numbering.batches(part["text"][part["train"] == train]):
+            # texts stay in Arrow's buffers, a run of them at a time is made words
+            texts = (text.as_py() for text, own in zip(part.column("text"), part.column("train").to_pylist(), strict=True) if own == train)
+            for words, sizes in numbering.batches(texts):
                 pairs, n = np.unique(numbering.head_pairs(words, sizes), return_counts=True)
                 met.append(pairs)
                 times.append(n if train else np.zeros(len(n), np.int64))
@@ -259,16 +265,18 @@ def block_units(docs: DataFrame) -> DataFrame:
                     own = np.bincount(words, minlength=len(numbering.words))
                     own[:len(counts)] += counts
                     counts, n_texts = own, n_texts + len(sizes)
-        distinct = list(numbering.words)
-        counts = np.concatenate([counts, np.zeros(len(distinct) - len(counts), np.int64)])
+        counts = np.concatenate([counts, np.zeros(len(numbering.words) - len(counts), np.int64)])
         pairs, back = np.unique(np.concatenate(met), return_inverse=True)
         times = np.bincount(back, np.concatenate(times), len(pairs)).astype(np.int64)
         suffixes, heads_ = list(numbering.suffixes), list(numbering.heads)
-        found = [_WORD + w for w in distinct] + [_WORD] + [_HEAD + suffixes[x >> 32] + b" " + heads_[x & 0xFFFFFFFF] for x in pairs.tolist()]
+        found = pa.chunked_array([
+            pa.array((_WORD + w for w in numbering.words), pa.binary(), size=len(numbering.words)), pa.array([_WORD], pa.binary()),
+            pa.array((_HEAD + suffixes[x >> 32] + b" " + heads_[x & 0xFFFFFFFF] for x in pairs.tolist()), pa.binary(), size=len(pairs))])
         c = np.concatenate([counts, [n_texts], times])
-        return pd.DataFrame({"block": part["block"].iloc[0], "unit": found, "c": c})
+        block = np.full(len(c), part.column("block")[0].as_py(), np.int32)
+        return pa.table({"block": block, "unit": found, "c": c})
 
-    return docs.select("block", "text", "train").groupBy("block").applyInPandas(work, "block int, unit binary, c long")
+    return docs.select("block", "text", "train").groupBy("block").applyInArrow(work, "block int, unit binary, c long")
 
 
 def symbol_counts(vocabulary: DataFrame) -> DataFrame:

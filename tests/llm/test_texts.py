@@ -200,3 +200,27 @@ def test_rows_without_an_id_are_not_held_out(spark, tmp_path):
     for module in (language_id, lm_scoring, toxicity):
         got = module.query(spark, str(tmp_path)).collect()
         assert len(got) == 4 and all(r.held_out is False for r in got if r.doc_id is None)
+
+
+def test_only_new_words_are_numbered_one_by_one():
+    """The numbers are those of the first occurrences, and runs after the first look at what is new in them alone."""
+    from chatloom.llm import lm_scoring
+
+    class Watched(lm_scoring.Numbering):
+        asked = 0
+
+        def add(self, words):
+            words = list(words)
+            Watched.asked += len(words)
+            super().add(words)
+
+    numbering, texts = Watched(), ["b a b", None, "c a  B", "", "abcdef a"]
+    first = list(numbering.batches(texts * 3))
+    again = list(numbering.batches([*texts, "d"]))
+    assert [(w.tolist(), s.tolist()) for w, s in again] == [([0, 1, 0, 2, 1, 0, 3, 1, 4], [3, 0, 3, 0, 2, 1])]
+    assert Watched.asked == 8 * 3 + 1 and first[0][0].tolist() == [0, 1, 0, 2, 1, 0, 3, 1] * 3
+    words, sizes = again[0]
+    suffixes, heads = list(numbering.suffixes), list(numbering.heads)
+    told = [b"h" + suffixes[x >> 32] + b" " + heads[x & 0xFFFFFFFF] for x in numbering.head_pairs(words, sizes).tolist()]
+    assert told == [u for t in [*texts, "d"] for u in lm_scoring.heads(lm_scoring.tokens(t))]
+    assert lm_scoring.Numbering().head_pairs(np.zeros(0, np.int32), np.zeros(1, np.int64)).tolist() == [0]
