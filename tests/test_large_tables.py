@@ -34,6 +34,16 @@ def test_long_documents_and_late_revisions(spark, tables, name):
     assert compare(spark, con, name, folder, entry.queries()[name], entry.oracle_sql()[name]) is None
 
 
+def test_hidden_names_push_no_text_beyond_its_limit(spark, tmp_path):
+    # with the line that names a person, texts from one below the limit to one beyond it
+    rows = [(i, "x" * n, "ko", "web", n) for i, n in zip((27, 70, 113, 156, 328, 371), range(2982, 2988), strict=True)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    name = "report_recovered"
+    assert compare(spark, con, name, str(tmp_path), entry.queries()[name], entry.oracle_sql()[name]) is None
+
+
 def test_names_in_texts_are_joined_without_the_driver(spark):
     rows = spark.createDataFrame([("r", 1, "민수1이 말했다"), ("r", 2, "nobody")], "room_id string, message_id long, text string")
     mapping = spark.createDataFrame([("r", "민수1", "A")], "room_id string, nickname string, pseudonym string")
