@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from chatloom.operators import privacy
 from chatloom.operators.ranking import running_number
+from chatloom.sources import documents as store
 from chatloom.sources import html
 
 LONG = "\n".join(f"{i} " + "가나다라 " * 20 for i in range(900))  # beyond the bytes and the nodes of a document
@@ -34,6 +35,30 @@ def test_long_documents_and_late_revisions(spark, tables, name):
     assert compare(spark, con, name, folder, entry.queries()[name], entry.oracle_sql()[name]) is None
 
 
+def test_sets_are_not_refused_for_what_they_hold(spark, tables):
+    folder, con = tables
+    name = "publish_cycle"
+    assert compare(spark, con, name, folder, entry.queries()[name], entry.oracle_sql()[name]) is None
+
+
+def test_white_space_around_a_set_is_too_large(spark):
+    large, small = '{"a":"' + "x" * 40 + '"}', '{"a":1}'
+    texts = [large, large + "\n", large + " " * 20, small, small + " " * 13, small + " " * 14, small + "x" * 40]
+    raw = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "doc_id long, content binary")
+    found = {r.doc_id: r.verdict for r in store.parse_strict(raw, "content", 20, padding_only=True).collect()}
+    assert [found[i] for i in range(7)] == ["ok", "ok", "too_large", "ok", "ok", "too_large", "not_strict_json"]
+
+
+@pytest.mark.parametrize("name", ["contract_violations", "final_check", "publish_cycle", "report_items", "report_recovered"])
+def test_texts_without_a_character(spark, tmp_path, name):
+    texts = ["", " ", "\n", " \n\u00a0\n"]
+    rows = [(i, texts[i % 4], "ko", "web", len(texts[i % 4])) for i in (30, 31, 32, 33, 37, 72, 73, 75, 77, 20, 5)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(spark, con, name, str(tmp_path), entry.queries()[name], entry.oracle_sql()[name]) is None
+
+
 def test_hidden_names_push_no_text_beyond_its_limit(spark, tmp_path):
     # with the line that names a person, texts from one below the limit to one beyond it
     rows = [(i, "x" * n, "ko", "web", n) for i, n in zip((27, 70, 113, 156, 328, 371), range(2982, 2988), strict=True)]
