@@ -25,11 +25,14 @@ empty one. Extra columns do not matter.
 from __future__ import annotations
 
 import math
+import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +47,9 @@ SIZE = 5
 LEAST, SCALE = 75, 100
 #: Groups of tokens: a quarter of the median set size within these limits. Larger sets need more to differ.
 GROUPS, MOST_GROUPS = 128, 2_048
-#: The sketch of token counts that orders the tokens has a cell for about eight tokens, 2^24 (bytes, broadcast) at most.
-SKETCH_BITS = 24
+#: The sketch of token counts that orders the tokens has a cell (a byte) for about eight tokens, 2^28 at most. It is a file
+#: that the Python workers of an executor map into memory together.
+SKETCH_BITS = 28
 BLOCK_BITS = 18
 #: Tokens whose cells a task sorts and packs together, or those of one slice of text.
 TOGETHER = 1 << 20
@@ -70,10 +74,15 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def token_levels(docs: DataFrame, size: int) -> np.ndarray:
-    """How often the tokens of each sketch cell occur, in steps of an eighth of an octave."""
+def sketch_bits(octets: int) -> int:
+    """The sketch has 2^bits cells for texts of so many bytes, six or so to a token."""
+    return min(SKETCH_BITS, max(16, (octets // 6 // 8).bit_length()))
+
+
+def token_levels(docs: DataFrame, size: int) -> str:
+    """How often the tokens of each sketch cell occur, in steps of an eighth of an octave: the name of a file on all executors."""
     octets = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    bits = min(SKETCH_BITS, max(16, (octets // 6 // 8).bit_length()))
+    bits = sketch_bits(octets)
     block_bits = min(BLOCK_BITS, bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,18 +106,22 @@ def token_levels(docs: DataFrame, size: int) -> np.ndarray:
         return pd.DataFrame({"block": part["block"].iloc[:1], "levels": [levels.tobytes()]})
 
     merged = docs.select("text").mapInArrow(count, "block int, cells binary").groupBy("block").applyInPandas(add, "block int, levels binary")
-    out = np.zeros(1 << bits, np.uint8)
-    for r in merged.toLocalIterator():
-        out[r["block"] << block_bits:(r["block"] + 1) << block_bits] = np.frombuffer(r["levels"], np.uint8)
-    return out
-
-
-def describe(docs: DataFrame, size: int, levels: np.ndarray) -> DataFrame:
+    name = f"levels-{uuid.uuid4().hex}"
+    path = f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/{name}"
+    with open(path, "wb") as out:  # block by block, so the driver never holds the sketch
+        out.truncate(1 << bits)
+        for r in merged.toLocalIterator():
+            out.seek(r["block"] << block_bits)
+            out.write(r["levels"])
+    docs.sparkSession.sparkContext.addFile(path)
+    return name
+
+
+def describe(docs: DataFrame, size: int, levels: str) -> DataFrame:
     """``(key, text_hash, n, node, firsts)`` of each document: set size, hash of the set, the first tokens in the common order."""
-    sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = sent.value
+        level = np.memmap(SparkFiles.get(levels), np.uint8, "r")
         shift = np.uint64(65 - len(level).bit_length())
         for batch in batches:
             sizes, nodes, firsts = [], [], []

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
 from chatloom.llm import ann, decontamination, jaccard_join, lm_scoring, substring_dedup
@@ -237,6 +238,15 @@ def test_join_against_brute_force(spark, copies, monkeypatch, tile):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
 
 
+def test_the_sketch_grows_with_the_corpus(spark):
+    for gb in (1, 6, 10):  # at least a cell for ten tokens: fuller cells tell rare tokens from frequent ones no more, and families merge
+        assert (1 << jaccard_join.sketch_bits(gb * 10**9)) * 10 >= gb * 10**9 // 6
+    docs = spark.createDataFrame([(i, "a b c d e f") for i in range(3)] + [(3, None), (4, "one two")], "doc_id long, text string")
+    name = jaccard_join.token_levels(docs, 5)
+    levels = np.fromfile(SparkFiles.get(name), np.uint8)
+    assert len(levels) == 1 << 16 and sorted(levels[levels > 0].tolist()) == [16, 16]
+
+
 def test_join_of_odd_rows(odd, none):
     got = jaccard_join.join(odd).collect()
     assert len(got) == odd.count()
