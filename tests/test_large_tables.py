@@ -1,5 +1,8 @@
 """Queries against their SQL on rows as only larger tables have them: long documents, ids of later revisions."""
 
+import hashlib
+import json
+
 import duckdb
 import pyarrow as pa
 import pytest
@@ -7,8 +10,9 @@ from compare import compare
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from chatloom.operators import privacy
+from chatloom.operators import privacy, recovery
 from chatloom.operators.ranking import running_number
+from chatloom.schemas import REPORT_PAGE
 from chatloom.sources import documents as store
 from chatloom.sources import html
 
@@ -69,6 +73,23 @@ def test_hidden_names_push_no_text_beyond_its_limit(spark, tmp_path):
     assert compare(spark, con, name, str(tmp_path), entry.queries()[name], entry.oracle_sql()[name]) is None
 
 
+def test_recovered_documents_are_written_from_typed_structs(spark):
+    page = {"problem": None, "issue": "7호", "period": "2030.01.07 ~ 2030.01.13", "title": "x", "intro": None,
+            "stats": {"메시지 수": 3, "스레드 수": 1, "기타": 5}, "topics": [("t", None)], "faq": [("q", "a", ["b", "a", "b"], None)],
+            "unresolved": [], "tips": [("민수쌤 \u001f", "b", ["기타"], None)], "actions": [("action", "a", "가온쌤", None)]}
+    docs = recovery.rebuild_publications(spark.createDataFrame([page], REPORT_PAGE).withColumn("doc_id", F.lit(1)), "2030-02-01T00:00:00Z")
+    text = docs.first().document
+    whole = json.loads(text)
+    rest = {k: v for k, v in whole.items() if k != "content_sha256"}
+
+    def canonical(value):
+        return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+
+    assert text == canonical(whole) and whole["content_sha256"] == hashlib.sha256(canonical(rest).encode()).hexdigest()
+    assert whole["hook_title"] == "x" and whole["stats"] == {"메시지 수": 3, "스레드 수": 1, "질문 수": 1, "그중 해결된 수": 1}
+    assert whole["tips"][0]["title"] == "함께한 선생님 \u001f" and whole["faq"][0]["tags"] == ["b", "a"]
+
+
 def test_names_in_texts_are_joined_without_the_driver(spark):
     rows = spark.createDataFrame([("r", 1, "민수1이 말했다"), ("r", 2, "nobody")], "room_id string, message_id long, text string")
     mapping = spark.createDataFrame([("r", "민수1", "A")], "room_id string, nickname string, pseudonym string")
